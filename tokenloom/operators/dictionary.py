@@ -208,8 +208,7 @@ def nul_duplicates(dictionary: DataFrame, top: int = 20) -> DataFrame:
     ordered = F.sort_array(F.collect_list(F.struct("id", "status")))
     listed = rows.groupBy("vt_type", "raw_clean", "dup_cnt").agg(ordered.alias("members"))
     text = {
-        name: F.array_join(F.transform("members", lambda m, n=name: m[n].cast("string")), ",")
-        for name in ("id", "status")
+        name: F.array_join(F.col(f"members.{name}").cast("array<string>"), ",") for name in ("id", "status")
     }
     return listed.select("vt_type", "raw_clean", "dup_cnt", text["id"].alias("ids"), text["status"].alias("statuses"))
 
