@@ -22,7 +22,7 @@ def null_to_blank(c: ColumnLike) -> Column:
 
 def has_text(c: ColumnLike) -> Column:
     """True or false, never NULL."""
-    return blank_to_null(c).isNotNull()
+    return F.coalesce(F.trim(as_column(c)) != "", F.lit(False))
 
 
 def first_text(*columns: ColumnLike) -> Column:

@@ -11,15 +11,13 @@ DAY_MS = 86_400_000
 
 
 def epoch_ms(ts: ColumnLike, zone: str) -> Column:
-    """Milliseconds since 1970 UTC of a zone-less time that was read off a clock in ``zone``."""
+    """Milliseconds since 1970 UTC of a zone-less time that was read off a clock in ``zone``.
+
+    The time since 1970 is an interval; a thousand times it, in seconds, is the answer.
+    """
     utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), as_column(ts).cast("timestamp_ntz"))
-    second_ms = F.floor(F.extract(F.lit("SECOND"), utc) * 1000)
-    return (
-        F.unix_date(utc.cast("date")).cast("bigint") * DAY_MS
-        + F.hour(utc) * 3_600_000
-        + F.minute(utc) * 60_000
-        + second_ms
-    ).cast("bigint")
+    since = utc - F.lit("1970-01-01").cast("timestamp_ntz")
+    return (since * 1000).cast("interval second").cast("bigint")
 
 
 def positive_ms(ms: Column) -> Column:

@@ -138,54 +138,58 @@ def user_identity(sources) -> DataFrame:
     return users.join(bvn, "user_id", "left").join(card, "user_id", "left")
 
 
-def assemble_application(sources, settings: Settings = DEFAULT) -> DataFrame:
-    """One row per order. Facts keyed by order id and order number join first; the user's facts,
-    which are the widest, join last, which leaves the rows grouped by user for the keyed output."""
-    orders = sources["user_order"].filter(has_order_no())
-    orders = (
-        orders.join(overdue_by_order(sources["user_order_installment"]), orders["id"] == F.col("user_order_id"), "left")
-        .drop("user_order_id")
+def application_rows(sources) -> DataFrame:
+    """One row per order: its own columns, its payment facts, its user's identity, all still raw.
+
+    Facts keyed by order id and order number join first; the user's facts, which are the widest,
+    join last. Documents and amounts are worked out after the joins, so they never move.
+    """
+    orders = sources["user_order"].filter(has_order_no()).withColumnRenamed("id", "order_id")
+    overdue = overdue_by_order(sources["user_order_installment"]).withColumnRenamed("user_order_id", "order_id")
+    return (
+        orders.join(overdue, "order_id", "left")
         .join(approval_latest_by_order(sources["risk_user_approval_callback"]), "order_no", "left")
         .join(paid_latest_by_order(sources["user_repay"]), "order_no", "left")
+        .join(user_identity(sources), "user_id", "inner")
+        .withColumnRenamed("order_id", "id")
     )
+
+
+def application_facts(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     scale = settings.money_scale
     limit, received = money_minor("amount_max", scale), money_minor("received", scale)
-    facts = orders.select(
-        "id",
-        "user_id",
-        application_no("app_code", "order_no").alias("application_no"),
-        F.col("order_no").alias("sn"),
-        "app_code",
-        "product_id",
-        "period_days",
-        "period_count",
-        "re_loan",
-        "order_time",
-        "reviewed_time",
-        "disburse_time",
-        "settled_time",
-        "last_paid_time",
-        "last_repayment_time",
-        "risk_order_status",
-        limit.alias("credit_limit_minor"),
-        limit.alias("loan_amount_minor"),
-        received.alias("principal_minor"),
-        money_minor("repayment", scale).alias("total_amount_minor"),
-        received.alias("disbursed_amount_minor"),
-        application_risk_status("risk_order_status", F.coalesce("is_overdue", F.lit(0))).alias("risk_status"),
-        repayment_plan_json(scale).alias("repayment_plan_json"),
-    )
-    return facts.join(user_identity(sources), "user_id", "inner")
+    facts = {
+        "application_no": application_no("app_code", "order_no"),
+        "credit_limit_minor": limit,
+        "loan_amount_minor": limit,
+        "principal_minor": received,
+        "total_amount_minor": money_minor("repayment", scale),
+        "disbursed_amount_minor": received,
+        "risk_status": application_risk_status("risk_order_status", F.coalesce("is_overdue", F.lit(0))),
+        "repayment_plan_json": repayment_plan_json(scale),
+    }
+    raw = ("is_overdue", "amount_max", "received", "repayment", "poundage")
+    return rows.withColumns(facts).drop(*raw).withColumnRenamed("order_no", "sn")
 
 
-def assemble_loan(sources, settings: Settings = DEFAULT) -> DataFrame:
-    """One row per installment of an order that became a loan.
+def assemble_application(sources, settings: Settings = DEFAULT) -> DataFrame:
+    return application_facts(application_rows(sources), settings)
+
+
+def loan_rows(sources) -> DataFrame:
+    """One row per installment of an order that became a loan, still raw.
 
     A missing period is shown as 1 but matches no payment, which the extra join condition says;
     joining on the shown period leaves the rows grouped the way the keyed output needs them.
     """
     orders = sources["user_order"].filter(has_order_no() & loan_order()).select(
-        F.col("id").alias("order_id"), "order_no", "app_code", "risk_order_status", "order_time", "disburse_time", "settled_time"
+        F.col("id").alias("order_id"),
+        "order_no",
+        F.trim("app_code").alias("app_code"),
+        "risk_order_status",
+        "order_time",
+        "disburse_time",
+        "settled_time",
     )
     parts = sources["user_order_installment"].join(orders, F.col("user_order_id") == F.col("order_id"), "inner")
     parts = parts.withColumns(
@@ -195,13 +199,17 @@ def assemble_loan(sources, settings: Settings = DEFAULT) -> DataFrame:
         F.col("order_no").alias("paid_order_no"), F.col("current_period").alias("paid_period"), "paid_at"
     )
     matches = (F.col("order_no") == F.col("paid_order_no")) & (F.col("period") == F.col("paid_period")) & F.col("has_period")
+    return parts.join(paid, matches, "left").drop("paid_order_no", "paid_period", "has_period", "order_id", "user_order_id")
+
+
+def loan_facts(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     scale = settings.money_scale
-    return parts.join(paid, matches, "left").select(
+    return rows.select(
         "id",
         "order_no",
         "period",
-        F.trim("app_code").alias("app_code"),
-        loan_no("order_no", "current_period").alias("loan_no"),
+        "app_code",
+        loan_no("order_no", "period").alias("loan_no"),
         application_no("app_code", "order_no").alias("application_no"),
         F.lit(0).alias("roll_sequence"),
         start_date("disburse_time", "order_time", "create_time").alias("start_date"),
@@ -220,6 +228,10 @@ def assemble_loan(sources, settings: Settings = DEFAULT) -> DataFrame:
     )
 
 
+def assemble_loan(sources, settings: Settings = DEFAULT) -> DataFrame:
+    return loan_facts(loan_rows(sources), settings)
+
+
 def last_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Of several wide rows for one target key, the one with the highest source id."""
     return latest_by(df, keys, ["id"], df.columns)

@@ -18,14 +18,16 @@ from tokenloom.operators.predicates import token_miss, token_ready
 from tokenloom.operators.projection import offset_id, with_constants
 from tokenloom.operators.tokenize import Tokenizer, tokenize_or_lookup
 from tokenloom.plans.assemble import (
-    assemble_application,
+    application_facts,
+    application_rows,
     assemble_bankcard,
-    assemble_loan,
     assemble_product,
     assemble_user,
     assemble_user_info,
     contact_tokens,
     last_per_key,
+    loan_facts,
+    loan_rows,
 )
 from tokenloom.settings import DEFAULT, Settings
 
@@ -161,11 +163,11 @@ def product_output(sources, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def application_output(sources, phase: str = "hit", tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
-    wide = assemble_application(sources, settings)
+    wide = application_rows(sources)
     ready = token_ready(["mobile_token", "bank_account_token"], {"id_number_token": "bvn_raw"})
     rows = _select_phase(wide, phase, ready, APPLICATION_TOKENS, tokenizer, also={"gaid_idfa_token": "gaid_idfa_raw"})
-    # tokens follow from the user, so (mobile, user, sn) repeats exactly where (user, sn) does
-    rows = last_per_key(rows, ["user_id", "sn"])
+    # tokens follow from the user, so (mobile, user, sn) repeats exactly where (user, order_no) does
+    rows = application_facts(last_per_key(rows, ["user_id", "order_no"]), settings)
     zone, user_id = settings.zone, offset_id("user_id", settings.id_offset)
     created = epoch_ms("order_time", zone)
     return rows.select(
@@ -213,7 +215,7 @@ def application_output(sources, phase: str = "hit", tokenizer: Tokenizer | None
 
 
 def loan_output(sources, settings: Settings = DEFAULT) -> DataFrame:
-    rows = last_per_key(assemble_loan(sources, settings), ["order_no", "period", "app_code"])
+    rows = loan_facts(last_per_key(loan_rows(sources), ["order_no", "period", "app_code"]), settings)
     return rows.select(
         "loan_no",
         "application_no",

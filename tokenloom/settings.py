@@ -18,6 +18,9 @@ class Settings:
 
 DEFAULT = Settings()
 
+# The JVM does not compile methods of more than 8000 bytecodes, so larger generated stages would be
+# interpreted; below the limit Spark splits them into small methods instead.
+#
 # Lookups here are left joins from a large side to a table with one row per key, so the only
 # possible hot partition is on the large side and Spark may split it. The forced mode also splits
 # it when a later grouping wants the same key, at the price of one extra exchange for hot data.
@@ -26,6 +29,7 @@ SESSION_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -13,16 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tokenloom.functions.times import epoch_ms
+
 PASSED_SCHEMA = "user_id bigint, ts timestamp_ntz"
 
 
 def _to_ms(df: DataFrame) -> DataFrame:
     """Times as milliseconds on their own clock, which is all a difference needs. Stamps have that
     precision, so repeats within one are merged here, before rows move; the shortest wait counts."""
-    ms = F.unix_date(F.col("ts").cast("date")).cast("bigint") * 86_400_000
-    ms = ms + F.hour("ts") * 3_600_000 + F.minute("ts") * 60_000
-    ms = ms + F.floor(F.extract(F.lit("SECOND"), F.col("ts")) * 1000)
-    return df.withColumn("ms", ms.cast("bigint"))
+    return df.withColumn("ms", epoch_ms("ts", "UTC"))
 
 
 def _from_ms(column: str):

@@ -43,7 +43,7 @@ def _only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
 
 def for_users(sources: Sources, user_ids: DataFrame) -> Sources:
     """All tables a user's own facts come from, cut down to some users."""
-    users = _only(sources["user"], "id", user_ids)
+    users = sized(_only(sources["user"], "id", user_ids))
     cut = {"user": users}
     for table in ("user_personal_info", "user_bank_info", "user_work_related", "user_emergency_contact", "risk_user_credit_callback"):
         cut[table] = _only(sources[table], "user_id", user_ids)
@@ -139,7 +139,8 @@ def rebuild_scope(output: str, scope: DataFrame, sources: Sources, tokenizer: To
 
 
 def rebuild_rows(output: str, keys: DataFrame, sources: Sources, tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
-    return rebuild_scope(output, scope_of(output, keys, sources), sources, tokenizer, settings)
+    scope = sized(scope_of(output, keys, sources))
+    return rebuild_scope(output, scope, sources, tokenizer, settings)
 
 
 def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
