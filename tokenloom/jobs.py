@@ -24,11 +24,12 @@ from tokenloom.sources.changes import scan_changes
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable, materialize, write_detail
 from tokenloom.sources.tables import Sources, parquet_sources
-from tokenloom.streaming.debounce import debounce_stream
 from tokenloom.streaming.handoff import record_start, start_position
-from tokenloom.streaming.rebuild import RebuildJob, start
+from tokenloom.streaming.enqueue import WAIT_SECONDS
+from tokenloom.streaming.rebuild import ProfileJob, RebuildJob, start
 from tokenloom.streaming.triggers import TRIGGER_TABLES
 
+BULK_BATCHES = 2
 # The order in which a full run writes the outputs.
 OUTPUTS = ("user", "user_info", "user_bankcard", "user_product", "application", "loan", "id_mapping")
 
@@ -76,15 +77,19 @@ def reconcile(sources: Sources, tokenizer: Tokenizer, log: str):
 
 
 def follow(spark: SparkSession, sources_now, changes: str, target: str, name: str, tokenizer: Tokenizer, interval: str | None):
-    """Follows changes from where the bulk load began. Profiles go through the debounced queue."""
-    from tokenloom.streaming.enqueue import WAIT_SECONDS, enqueue_dirty
+    """Follows changes from where the bulk load began. Profiles go through the debounced queue.
 
+    Batch numbers of the stream come after those of the bulk load, which are 0 and 1.
+    """
     mode, start_ms = start_position(spark, f"{target}/_start")
     tables = list(WAIT_SECONDS) if name == "user_info" else TRIGGER_TABLES[name]
     stream = scan_changes(spark, changes, tables, mode, start_ms)
+    table = KeyedTable(spark, f"{target}/{name}", TARGET_KEYS[name], first_batch=BULK_BATCHES)
     if name == "user_info":
-        stream = debounce_stream(enqueue_dirty(stream, sources_now()))
-    job = RebuildJob(name, sources_now, KeyedTable(spark, f"{target}/{name}", TARGET_KEYS[name]), tokenizer)
+        queue = KeyedTable(spark, f"{target}/_queue", ["user_id"])
+        job = ProfileJob(sources_now, table, queue, tokenizer)
+    else:
+        job = RebuildJob(name, sources_now, table, tokenizer)
     return start(job, stream, f"{shared_folder(spark)}/{name}", interval)
 
 
@@ -104,7 +109,7 @@ def main() -> None:
     parser.add_argument("--source", required=True, help="folder with one parquet table per source table")
     parser.add_argument("--target", required=True)
     parser.add_argument("--changes", help="folder of change files (incr)")
-    parser.add_argument("--output", choices=OUTPUTS, help="output to follow (incr)")
+    parser.add_argument("--output", choices=OUTPUTS[:-1], help="output to follow (incr)")
     parser.add_argument("--interval", default="5 seconds")
     args = parser.parse_args()
 

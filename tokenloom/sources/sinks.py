@@ -25,11 +25,12 @@ class KeyedTable:
     ``compact`` folds the batches so far into one.
     """
 
-    def __init__(self, spark: SparkSession, path: str, pk: list[str]):
-        self.spark, self.path, self.pk = spark, path, pk
+    def __init__(self, spark: SparkSession, path: str, pk: list[str], first_batch: int = 0):
+        """``first_batch`` is added to batch ids, for a writer that comes after another."""
+        self.spark, self.path, self.pk, self.first_batch = spark, path, pk, first_batch
 
     def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
+        return f"{self.path}/batch_id={batch_id + self.first_batch}"
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """``batch`` holds one row per key."""
@@ -44,12 +45,15 @@ class KeyedTable:
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._folder(batch_id))
 
-    def read(self) -> DataFrame | None:
-        """Current rows, or None before the first write."""
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Current rows, or None before the first write; ``before`` leaves out that batch and all
+        later ones, which is how things stood when it began."""
         try:
             every = self.spark.read.option("basePath", self.path).parquet(self.path)
         except AnalysisException:
             return None
+        if before is not None:
+            every = every.filter(F.col("batch_id") < before + self.first_batch)
         newest = latest_by(every, self.pk, ["batch_id"], every.columns)
         return newest.filter(~F.col("row_deleted")).select(*[c for c in every.columns if c not in ("batch_id", "row_deleted")])
 

@@ -23,6 +23,8 @@ from tokenloom.settings import DEFAULT, Settings, checkpointed
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources
+from tokenloom.streaming.debounce import debounce
+from tokenloom.streaming.enqueue import enqueue_dirty
 from tokenloom.streaming.triggers import touched, trigger_keys
 
 BROADCAST_ROWS = 200_000
@@ -163,8 +165,7 @@ def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFra
 
 
 class RebuildJob:
-    """What a change stream does with each micro-batch. For the profile output the stream holds
-    user ids, for all others changes."""
+    """What a change stream does with each micro-batch."""
 
     def __init__(
         self,
@@ -181,17 +182,18 @@ class RebuildJob:
         self.propagate_deletes, self.id_layout = propagate_deletes, id_layout
 
     def scope(self, batch: DataFrame, sources: Sources) -> DataFrame:
-        if self.output == "user_info":
-            return batch.select("user_id").distinct()
         return scope_of(self.output, trigger_keys(self.output, batch, sources), sources, batch)
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Many changes of one key in a batch cost one rebuild. Running a batch again is harmless:
         its rows come from the tables as they are now and replace those of the first run."""
         sources = self.sources_now()
-        scope = sized(self.scope(batch, sources))
+        self.rebuild(sources, sized(self.scope(batch, sources)), batch_id)
+
+    def rebuild(self, sources: Sources, scope: DataFrame, batch_id: int) -> None:
         rows = rebuild_scope(self.output, scope, sources, self.tokenizer, self.settings)
-        stored = self.target.read() if self.propagate_deletes or self.output == "user_bankcard" else None
+        needs_stored = self.propagate_deletes or self.output == "user_bankcard"
+        stored = self.target.read(before=batch_id) if needs_stored else None
         if self.output == "user_bankcard":
             rows = self._with_ids(rows, stored)
         if stored is None or not self.propagate_deletes:
@@ -208,6 +210,25 @@ class RebuildJob:
         return rows if stored is None else keep_existing(rows, stored, pk, "id")
 
 
+class ProfileJob(RebuildJob):
+    """The profile output: changes queue their users, and a user rests between two rebuilds.
+
+    The queue table is the memory of who was rebuilt when. A batch that runs again starts from the
+    queue as it was before that batch, so it lets the same users through.
+    """
+
+    def __init__(self, sources_now: Callable[[], Sources], target: KeyedTable, queue: KeyedTable, tokenizer: Tokenizer, **options):
+        super().__init__("user_info", sources_now, target, tokenizer, **options)
+        self.queue = queue
+
+    def run_batch(self, batch: DataFrame, batch_id: int) -> None:
+        sources = self.sources_now()
+        passed = checkpointed(debounce(enqueue_dirty(batch, sources), self.queue.read(before=batch_id)))
+        stamps = passed.groupBy("user_id").agg(F.max("ts").alias("updated_at"))
+        self.rebuild(sources, sized(stamps.select("user_id")), batch_id)
+        self.queue.upsert(stamps, batch_id)
+
+
 def start(job: RebuildJob, changes: DataFrame, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
     """Follows a change stream; with ``interval`` None it takes what is there and stops."""
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
