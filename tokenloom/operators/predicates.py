@@ -1,4 +1,8 @@
-"""Row conditions of the sync rules. Every condition is true or false, never NULL."""
+"""Row conditions of the sync rules.
+
+Conditions on tokens and changes are true or false, never NULL, so they may be negated. The others
+are plain comparisons for filters, where NULL drops the row, so that scans can use them.
+"""
 
 from __future__ import annotations
 
@@ -12,10 +16,6 @@ from tokenloom.functions.codes import NOT_A_LOAN
 from tokenloom.functions.text import has_text
 
 
-def _sure(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
-
-
 def token_ready(required: list[str], optional: dict[str, str] | None = None) -> Column:
     """All required tokens are there; an optional one (token -> raw) only if its raw value is."""
     conditions = [has_text(token) for token in required]
@@ -28,24 +28,28 @@ def token_miss(pairs: dict[str, str]) -> Column:
     return reduce(or_, [has_text(raw) & ~has_text(token) for token, raw in pairs.items()])
 
 
+def _filled(c: str) -> Column:
+    return F.trim(c) != ""
+
+
 def live_bankcard() -> Column:
-    return _sure(F.col("deleted") == 0) & has_text("bank_account")
+    return (F.col("deleted") == 0) & _filled("bank_account")
 
 
 def default_bankcard() -> Column:
-    return live_bankcard() & _sure(F.col("is_default") == 1)
+    return live_bankcard() & (F.col("is_default") == 1)
 
 
 def has_order_no() -> Column:
-    return has_text("order_no")
+    return _filled("order_no")
 
 
 def loan_order() -> Column:
-    return _sure(~F.col("risk_order_status").isin(*NOT_A_LOAN))
+    return ~F.col("risk_order_status").isin(*NOT_A_LOAN)
 
 
 def paid_callback() -> Column:
-    return _sure(F.col("status") == 2) & F.col("callback_time").isNotNull() & has_order_no()
+    return (F.col("status") == 2) & F.col("callback_time").isNotNull() & has_order_no()
 
 
 def changed(*columns: str, before: str = "before", after: str = "after") -> Column:
