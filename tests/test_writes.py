@@ -90,6 +90,21 @@ def test_scan_options():
         src_tables.scan_options("jdbc:x", "user", "id", 0, 1, 2, 3)
 
 
+def test_cached_lookup_expires(spark):
+    reads, now = [], [0.0]
+
+    def read():
+        reads.append(len(reads))
+        return spark.createDataFrame([(len(reads),)], "n int")
+
+    lookup = src_tables.CachedLookup(read, 120, lambda: now[0])
+    assert [lookup.get().first().n for _ in range(2)] == [1, 1]
+    now[0] = 119.0
+    assert lookup.get().first().n == 1
+    now[0] = 120.0
+    assert lookup.get().first().n == 2 and len(reads) == 2
+
+
 def test_detail_log(spark, tmp_path):
     path = str(tmp_path / "log")
     sinks.write_detail(spark.createDataFrame([("NEW", 1)], "class string, id int"), path)
