@@ -98,8 +98,8 @@ column(
     "f14_created_ms_from_date", "user_order", lambda: times.created_ms_from_date(F.col("settled_time").cast("date"), ZONE),
     f"greatest(coalesce({ms('cast(cast(settled_time AS date) AS timestamp)')}, 0), 0)",
 )
-column("f15_parse_salary", "user_work_related", lambda: money.parse_salary("monthly_income"), o.salary("monthly_income"))
-column("f16_parse_credit_limit", "risk_user_credit_callback", lambda: money.parse_credit_limit("credit_limit"), o.credit("credit_limit"))
+column("f15_parse_salary", "user_work_related", lambda: money.parse_salary("monthly_income").cast("string"), f"cast({o.salary('monthly_income')} AS varchar)")
+column("f16_parse_credit_limit", "risk_user_credit_callback", lambda: money.parse_credit_limit("credit_limit").cast("string"), f"cast({o.credit('credit_limit')} AS varchar)")
 add(
     "f17_full_name_address",
     lambda c: c.src["user_personal_info"].select("id", text.full_name("first_name", "sur_name").alias("full_name"), text.address_detail("living_address_first_line", "living_address_second_line").alias("detail")),
@@ -644,10 +644,10 @@ add(
 )
 add(
     "v4_explain_user",
-    lambda c: verify.explain_user(17, c.src["user_info_dirty"], verify.incremental_bundle(c.src), assemble.assemble_user_info(c.src)),
-    f"SELECT 'bundle_lookup' AS layer, user_id, expected_full_name AS value, CASE WHEN {none('bvn_raw')} THEN 'yes_no_bvn' WHEN {has('id_number_token')} THEN 'yes_has_token' ELSE 'needs_vt_tokenize_or_miss' END AS status FROM bundle WHERE user_id = 17 "
-    "UNION ALL SELECT 'dirty_queue', 17, cast(max(updated_at) AS varchar), CASE WHEN count(*) = 0 THEN 'not_queued' ELSE 'queued' END FROM src_user_info_dirty WHERE user_id = 17 "
-    f"UNION ALL SELECT 'staging_vs_bundle', b.user_id, s.full_name, CASE WHEN s.user_id IS NULL THEN 'no_staging_row' WHEN {folded('s.full_name')} = {folded('b.expected_full_name')} THEN 'match' ELSE 'mismatch' END FROM bundle b LEFT JOIN st_info s ON s.user_id = b.user_id WHERE b.user_id = 17",
+    lambda c: verify.explain_users(c.src["user"].select(F.col("id").alias("user_id")), c.src["user_info_dirty"], verify.incremental_bundle(c.src), assemble.assemble_user_info(c.src)),
+    f"SELECT 'bundle_lookup' AS layer, user_id, expected_full_name AS value, CASE WHEN {none('bvn_raw')} THEN 'yes_no_bvn' WHEN {has('id_number_token')} THEN 'yes_has_token' ELSE 'needs_vt_tokenize_or_miss' END AS status FROM bundle "
+    "UNION ALL SELECT 'dirty_queue', u.id, strftime(q.updated_at, '%Y-%m-%d'), CASE WHEN q.user_id IS NULL THEN 'not_queued' ELSE 'queued' END FROM src_user u LEFT JOIN src_user_info_dirty q ON q.user_id = u.id "
+    f"UNION ALL SELECT 'staging_vs_bundle', b.user_id, s.full_name, CASE WHEN s.user_id IS NULL THEN 'no_staging_row' WHEN {folded('s.full_name')} = {folded('b.expected_full_name')} THEN 'match' ELSE 'mismatch' END FROM bundle b LEFT JOIN st_info s ON s.user_id = b.user_id",
 )
 COMPARED = f"""SELECT b.user_id, b.expected_full_name, t.full_name AS target_full_name, CASE WHEN {has('b.bvn_raw')} AND {none('b.id_number_token')} THEN 'FILTERED' WHEN t.user_id IS NULL THEN 'MISSING'
  WHEN {folded('t.full_name')} = {folded('b.expected_full_name')} THEN 'PASS' ELSE 'STALE' END AS outcome FROM bundle b LEFT JOIN target_info t ON t.user_id = b.user_id + 100000000"""

@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.codes import OK
-from tokenloom.functions.text import blank_to_null, full_name, has_text
+from tokenloom.functions.codes import VT_TYPES
+from tokenloom.functions.text import full_name, has_text
+from tokenloom.functions.times import date_text
 from tokenloom.operators.latest import profile_latest
 from tokenloom.operators.lookups import join_token
 from tokenloom.operators.predicates import token_miss, token_ready
 from tokenloom.operators.projection import offset_id
 from tokenloom.plans.outputs import APPLICATION_TOKENS, CARD_TOKENS, INFO_TOKENS, USER_TOKENS
-from tokenloom.functions.codes import VT_TYPES
 from tokenloom.settings import DEFAULT, Settings
 
 
@@ -93,27 +93,28 @@ def sample_eligibility(queue: DataFrame, bundle: DataFrame, n: int = 20, setting
     )
 
 
-def explain_user(user_id: int, queue: DataFrame, bundle: DataFrame, staging: DataFrame) -> DataFrame:
-    """Three lines on one user: what is expected, whether a rebuild waits, what the bulk load has."""
-    one = F.col("user_id") == user_id
-    expected = bundle.filter(one)
-    name = F.col("expected_full_name")
+def explain_users(asked: DataFrame, queue: DataFrame, bundle: DataFrame, staging: DataFrame) -> DataFrame:
+    """Three lines on each asked user: what is expected, the day a rebuild was queued, and what the
+    bulk load has."""
+    asked = asked.select("user_id")
+    expected = bundle.join(asked, "user_id", "left_semi")
     hint = (
         F.when(~has_text("bvn_raw"), "yes_no_bvn")
         .when(has_text("id_number_token"), "yes_has_token")
         .otherwise("needs_vt_tokenize_or_miss")
     )
-    lookup = expected.select(F.lit("bundle_lookup").alias("layer"), "user_id", name.alias("value"), hint.alias("status"))
+    lookup = expected.select(
+        F.lit("bundle_lookup").alias("layer"), "user_id", F.col("expected_full_name").alias("value"), hint.alias("status")
+    )
 
-    asked = expected.sparkSession.range(user_id, user_id + 1).select(F.col("id").alias("user_id"))
-    waiting = asked.join(queue.filter(one), "user_id", "left").select(
+    waiting = asked.join(queue, "user_id", "left").select(
         F.lit("dirty_queue").alias("layer"),
         "user_id",
-        F.col("updated_at").cast("string").alias("value"),
+        date_text("updated_at").alias("value"),
         F.when(F.col("updated_at").isNull(), "not_queued").otherwise("queued").alias("status"),
     )
 
-    stored = staging.filter(one).select("user_id", "full_name", F.lit(True).alias("staged"))
+    stored = staging.select("user_id", "full_name", F.lit(True).alias("staged"))
     check = (
         F.when(F.col("staged").isNull(), "no_staging_row")
         .when(_folded("full_name") == _folded("expected_full_name"), "match")
@@ -125,6 +126,12 @@ def explain_user(user_id: int, queue: DataFrame, bundle: DataFrame, staging: Dat
     return lookup.unionByName(waiting).unionByName(compared)
 
 
+def explain_user(user_id: int, queue: DataFrame, bundle: DataFrame, staging: DataFrame) -> DataFrame:
+    asked = bundle.sparkSession.range(user_id, user_id + 1).select(F.col("id").alias("user_id"))
+    one = F.col("user_id") == user_id
+    return explain_users(asked, queue.filter(one), bundle.filter(one), staging.filter(one))
+
+
 def join_source_target(expected: DataFrame, target: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     found = target.select(
         (F.col("user_id") - settings.id_offset).alias("user_id"), F.col("full_name").alias("target_full_name"), F.lit(True).alias("in_target")
