@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.codes import VT_TYPES
@@ -26,10 +26,13 @@ TRIGGER_TABLES = {
 
 
 def touched(changes: DataFrame, table: str, **columns: str) -> DataFrame:
-    """Distinct values of some columns in the old and new images of a table's changed rows."""
-    images = changes.filter(F.col("source_table") == table).select(F.explode(F.array("before", "after")).alias("row"))
-    images = images.filter("row IS NOT NULL").select(*[F.col(f"row.{c}").alias(name) for name, c in columns.items()])
-    return images.distinct()
+    """Distinct values of some columns in the old and new images of a table's changed rows; a
+    missing image gives NULLs. Only these columns of the images are read."""
+    def image(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(name) for name, c in columns.items()])
+
+    rows = changes.filter(F.col("source_table") == table)
+    return rows.select(F.inline(F.array(image("before"), image("after")))).distinct()
 
 
 def _union(parts: list[DataFrame], keys: list[str]) -> DataFrame:
