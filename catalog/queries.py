@@ -12,7 +12,7 @@ from catalog import oracle as o
 from catalog.oracle import has, ms, none, norm
 from tokenloom.functions import channels, codes, documents, money, text, times
 from tokenloom.functions.ids import with_snowflake_ids
-from tokenloom.operators import conform, dictionary as dic, edges, latest, lookups, predicates as pred, upsert
+from tokenloom.operators import conform, dictionary as dic, latest, lookups, predicates as pred, upsert
 from tokenloom.operators.contacts import tokenize_contacts_json
 from tokenloom.operators.projection import offset_id, with_constants
 from tokenloom.operators.tokenize import (
@@ -27,9 +27,9 @@ from tokenloom.operators.tokenize import (
     tokenize_or_lookup,
     tokenize_values,
 )
-from tokenloom.plans import assemble, outputs, verify
+from tokenloom.plans import assemble, edges, outputs, verify
+from tokenloom.sources.changes import change_image
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
-from tokenloom.sources.schemas import SOURCE_SCHEMAS
 from tokenloom.sources.tables import typed_view
 from tokenloom.streaming import debounce as deb, enqueue, rebuild, triggers
 
@@ -541,8 +541,6 @@ add("r1_trigger_application", lambda c: triggers.trigger_keys("application", c.c
 def order_changes(c: Context) -> DataFrame:
     """Changes of orders, payments, installments and cards, as the tables themselves state them:
     every disbursed order was updated once, every overdue installment and paid callback came in."""
-    from tokenloom.sources.changes import change_image
-
     def log(df: DataFrame, table: str, op: str, ts: str, **image) -> DataFrame:
         after = change_image(**image)
         return df.select(F.lit(table).alias("source_table"), F.lit(op).alias("op"), F.col(ts).alias("ts"), F.lit(0).cast("bigint").alias("position"), F.when(F.lit(op) == "u", after).alias("before"), after.alias("after"))

@@ -5,9 +5,9 @@ import re
 
 import pytest
 
-from tokenloom.operators import edges, lookups
+from tokenloom.operators import lookups
 from tokenloom.operators.tokenize import HashTokenizer, Tokenizer, tokenize_values
-from tokenloom.plans import outputs, verify
+from tokenloom.plans import edges, outputs, verify
 from tokenloom.plans.assemble import assemble_user_info
 
 HASH = HashTokenizer()

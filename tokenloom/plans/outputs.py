@@ -12,7 +12,6 @@ from tokenloom.functions.documents import info_json
 from tokenloom.functions.ids import IdLayout, with_snowflake_ids
 from tokenloom.functions.text import has_text, null_to_blank
 from tokenloom.functions.times import created_ms_from_date, epoch_ms, lock_expire_ms
-from tokenloom.operators.edges import keyed_edges
 from tokenloom.operators.latest import contacts_by_user
 from tokenloom.operators.predicates import token_miss, token_ready
 from tokenloom.operators.projection import offset_id, with_constants
@@ -29,6 +28,7 @@ from tokenloom.plans.assemble import (
     loan_facts,
     loan_rows,
 )
+from tokenloom.plans.edges import keyed_edges
 from tokenloom.settings import DEFAULT, Settings
 
 PHASES = ("hit", "miss", "all")
