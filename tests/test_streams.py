@@ -96,6 +96,20 @@ def test_enqueue_rules(spark, src):
     assert users == {r.id for r in src["user"].filter(F.col("adid") == some_user.adid).collect()}
 
 
+@pytest.mark.parametrize("seconds_ago", [0, 30, 55, 100])
+def test_one_change_per_value_lets_the_same_users_through(spark, src, seconds_ago):
+    some = src["user"].filter("adid <> ''").orderBy("id").first()
+    sharing = src["user"].filter(F.col("adid") == some.adid)
+    entries = [("adjust_callback_record", "c", s, None, {"adid": some.adid}) for s in (0, 3, 7, 11)]
+    entries += [("user_personal_info", "c", 5, None, {"user_id": some.id})]
+    queue = sharing.select(F.col("id").alias("user_id"), F.lit(at(-seconds_ago)).cast("timestamp_ntz").alias("updated_at"))
+    full, thin = [
+        {r.user_id for r in deb.debounce(enqueue.enqueue_dirty(log(spark, *entries), src, last_per_value=x), queue).collect()} for x in (False, True)
+    ]
+    assert full == thin
+    assert enqueue.enqueue_dirty(log(spark, *entries), src, last_per_value=True).count() == sharing.count() + 1
+
+
 def test_start_position(spark, tmp_path):
     folder = str(tmp_path / "start")
     assert handoff.start_position(spark, folder) == ("initial", None)

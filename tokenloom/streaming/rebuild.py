@@ -223,7 +223,8 @@ class ProfileJob(RebuildJob):
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         sources = self.sources_now()
-        passed = checkpointed(debounce(enqueue_dirty(batch, sources), self.queue.read(before=batch_id)))
+        events = enqueue_dirty(batch, sources, last_per_value=True)
+        passed = checkpointed(debounce(events, self.queue.read(before=batch_id)))
         stamps = passed.groupBy("user_id").agg(F.max("ts").alias("updated_at"))
         self.rebuild(sources, sized(stamps.select("user_id")), batch_id)
         self.queue.upsert(stamps, batch_id)
