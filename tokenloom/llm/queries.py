@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chat, exact_dedup, mixing, packing, quality, simhash, token_files, url_filter
+from tokenloom.llm import chat, exact_dedup, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
 from tokenloom.llm.common import Scratch, partitions, table
 
 END_OF_DOCUMENT, END_OF_PACKED = 1, 2
@@ -41,6 +41,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print("fp").alias("fingerprint"), "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"), WEIGHTS, MOST_REPEATS, SCHEDULES, Scratch(spark, "mix"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -86,7 +91,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_files, op2_simhash, op4_mixing, op5_exact_dedup, op6_chat, op8_quality, op9_url_filter, op10_packing)
+    for f in (
+        op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op8_quality, op9_url_filter, op10_packing,
+    )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
