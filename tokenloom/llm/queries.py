@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chat, exact_dedup, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
+from tokenloom.llm import chat, exact_dedup, licenses, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
 from tokenloom.llm.common import Scratch, partitions, table
 
 END_OF_DOCUMENT, END_OF_PACKED = 1, 2
@@ -69,6 +69,14 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # documents have no file names: a document lies in the directory of its source and language
+    files = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("file"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
+    )
+    return licenses.scan_licences(files, Scratch(spark, "licenses")).withColumnRenamed("file", "doc_id")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("bits").bitwiseAND(F.lit(quality.mask_of(quality.BASE_RULES))) != 0
@@ -92,7 +100,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op8_quality, op9_url_filter, op10_packing,
+        op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op7_licenses, op8_quality, op9_url_filter, op10_packing,
     )
 }
 
