@@ -47,6 +47,19 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column each (doc), beside doc_id and text_hash, so that no name of theirs can clash."""
+    everything = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.select(everything.alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+
+
+def chosen_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, text_hash) in ``chosen``; a null doc_id is a doc_id here."""
+    rows, keys = whole_rows(docs), chosen.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h")).distinct()
+    rows = rows.join(keys, rows["doc_id"].eqNullSafe(F.col("i")) & (rows["text_hash"] == F.col("h")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text_hash"]).select("doc.*")
+
+
 def words(text) -> F.Column:
     """The words of a text as an array; null gives none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), lambda w: w != "")

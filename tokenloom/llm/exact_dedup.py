@@ -166,10 +166,11 @@ class Bucket:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text without white space, and code points of the original text."""
+    """doc_id, hash of the text, digest of the text without white space, and code points of the original text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
         F.unhex(F.sha2(F.translate(text, SPACES, ""), 256)).alias("digest"),
         F.char_length(text).cast("long").alias("chars"),
     )
@@ -277,7 +278,7 @@ def buckets_for(rows: int) -> int:
 
 
 def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """A row for each document: doc_id, keep_id, group_size, kept, text_sha256, chars.
+    """A row for each document: doc_id, text_hash, keep_id, group_size, kept, text_sha256, chars.
 
     Rows that repeat the doc_id that stays are all marked kept: the mark goes by doc_id.
     """
@@ -286,6 +287,6 @@ def exact_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     # the side with one row per digest is on the right, so a digest with very many documents can be split
     joined = rows.join(index_groups(index), "digest", "left")
     return joined.select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+        "doc_id", "text_hash", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "chars",
     )

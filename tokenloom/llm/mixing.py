@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import Scratch, partitions, word_count
+from tokenloom.llm.common import Scratch, partitions, whole_rows, word_count
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -128,15 +128,18 @@ def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows of ``docs`` in training order: one for each pass that takes words.
 
     A pass that takes only part of a document keeps its first words, as they stand in the text; ``n_chars``, if the
-    documents have it, follows.
+    documents have it, follows. Rows that repeat doc_id and text share their text, each has its own passes.
     """
-    mix = plan.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), "passes")
-    mix = mix.dropDuplicates(["_doc_id", "_hash"])  # rows that repeat doc_id and text are told apart no further
-    key = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    rows = docs.join(mix, key).withColumn("_p", F.explode("passes"))
-    head = F.regexp_extract("text", F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*){"), F.col("_p.words"), F.lit("}")), 0)
-    rows = rows.withColumn("text", F.when(F.col("_p.words") < F.col("_size"), head).otherwise(F.col("text")))
+    mix = plan.select(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), "size", "passes").where(F.size("passes") > 0)
+    rows = whole_rows(docs).dropDuplicates(["doc_id", "text_hash"])
+    rows = rows.join(mix, rows["doc_id"].eqNullSafe(F.col("mix_id")) & (rows["text_hash"] == F.col("mix_hash"))).withColumn("p", F.explode("passes"))
+    cut = F.col("p.words") < F.col("size")
+    # cut after each word: a piece is a word with the white space before it
+    pieces = F.split("doc.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(cut, F.array_join(F.slice(pieces, F.lit(1), F.col("p.words").cast("int")), "")).otherwise(F.col("doc.text"))
+    keys = ["p.position", "doc_id", "text_hash", "p.pass"]
+    rows = rows.withColumn("head", text).repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys)
+    new = {"text": F.col("head")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_p.words") < F.col("_size"), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    keys = [F.col("_p.position"), F.col("_doc_id"), F.col("_hash"), F.col("_p.pass")]
-    return rows.repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys).select(*docs.columns)
+        new["n_chars"] = F.when(cut, F.char_length("head").cast("long")).otherwise(F.col("doc.n_chars"))
+    return rows.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))

@@ -65,14 +65,14 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of ``docs`` (doc_id, text); fp holds the 64 bits as a signed long."""
+    """(doc_id, text_hash, fp) of ``docs`` (doc_id, text); fp holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes: list[int] = []
             counts: list[int] = []
             prints = []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 found = shingle_hashes(text.as_py())
                 hashes += found
                 counts.append(len(found))
@@ -80,9 +80,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     prints.append(majority(np.array(hashes, np.uint64), np.array(counts)))
                     hashes, counts = [], []
             prints.append(majority(np.array(hashes, np.uint64), np.array(counts, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(prints).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(prints).view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def without_block(fp: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +199,7 @@ def near_links(distinct: DataFrame, count: int) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """A row for each document: doc_id, fp, component_id (the smallest doc_id that links reach)."""
+    """A row for each document: doc_id, text_hash, fp, component (a fingerprint), component_id (the smallest doc_id that links reach)."""
     prints = scratch.keep(fingerprints(docs), "prints")
     distinct = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     links = scratch.keep(near_links(distinct, distinct.count()), "links")
@@ -207,8 +207,8 @@ def near_groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     labelled = distinct.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     # one row per fingerprint on the right: a fingerprint with very many documents can be split
-    classes = scratch.keep(labelled.join(least, "component").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = scratch.keep(labelled.join(least, "component").select("fp", "component", "component_id"), "classes")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
 
 
 def hex_print(fp) -> F.Column:
