@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog import oracle as o
 from catalog.oracle import has, ms, none, norm
 from tokenloom.functions import channels, codes, documents, money, text, times
-from tokenloom.functions.ids import with_snowflake_ids
+from tokenloom.functions.ids import free_start_ms, id_time_ms, spread_layout, with_snowflake_ids
 from tokenloom.operators import conform, dictionary as dic, latest, lookups, predicates as pred, upsert
 from tokenloom.operators.contacts import tokenize_contacts_json
 from tokenloom.operators.projection import offset_id, with_constants
@@ -122,7 +122,38 @@ add(
     "SELECT id, cast(length(raw_value) AS int) AS chars, cast(strlen(raw_value) AS int) AS bytes, contains(raw_value, chr(0)) AS nul, contains(raw_value, chr(9)) OR contains(raw_value, chr(10)) AS control, "
     "replace(raw_value, chr(0), '') AS clean, left(raw_value, 80) AS shown, hex(raw_value) AS hexed FROM dictionary",
 )
-add("f24_snowflake_id", lambda c: with_snowflake_ids(c.src["user_bank_info"].select("user_id", F.col("id").alias("card_id")), ["card_id"], 1_700_000_000_000))
+def _id_facts(rows: DataFrame, start_ms: int) -> DataFrame:
+    """What must hold for ids: none twice, the sequence and worker bits in range, no time before the start."""
+    layout = spread_layout()
+    worker = F.shiftright("id", layout.sequence_bits).bitwiseAND(F.lit((1 << layout.worker_bits) - 1))
+    good = (worker >= layout.worker_base) & (id_time_ms("id", layout) >= start_ms) & (F.col("id") > 0)
+    return rows.agg(
+        F.count(F.lit(1)).alias("ids"), F.count_distinct("id").alias("distinct_ids"), F.count(F.when(~good, 1)).alias("out_of_range")
+    )
+
+
+ID_START = 1_700_000_000_000
+
+
+def _chained(runs: list[Callable[[int], DataFrame]]) -> DataFrame:
+    """The ids of several runs, each starting after the last one of the runs before it."""
+    done = runs[0](ID_START)
+    for run in runs[1:]:
+        done = done.unionByName(run(free_start_ms(done, ID_START)))
+    return done
+
+
+# few tasks, so that each uses up several milliseconds
+add(
+    "f24_snowflake_id",
+    lambda c: _id_facts(
+        _chained(
+            [lambda start: with_snowflake_ids(c.src["user_bank_info"].select(F.col("id").alias("card_id")), ["card_id"], start, partitions=2).select("id")] * 2
+        ),
+        ID_START,
+    ),
+    "SELECT 2 * count(*) AS ids, 2 * count(*) AS distinct_ids, 0 AS out_of_range FROM src_user_bank_info",
+)
 
 # --- projections and predicates ------------------------------------------------------------------
 column("p01_offset_id", "user", lambda: offset_id("id"), "id + 100000000")
@@ -589,7 +620,21 @@ add(
     lambda c: rebuild.rebuild_rows("user_bankcard", triggers.bankcard_keys(order_changes(c), c.src), c.src, HASH),
     o.card_sql(f"SELECT * FROM ({o.CARD_FILLED}) WHERE user_id IN ({CARD_OWNERS})"),
 )
-add("q3_user_bankcard_with_ids", lambda c: outputs.bankcard_output(c.src, 1_700_000_000_000))
+add(
+    "q3_user_bankcard_with_ids",
+    lambda c: _id_facts(
+        _chained(
+            [
+                lambda start: outputs.bankcard_output(c.src, start, "hit", partitions=2).select("id"),
+                lambda start: outputs.bankcard_output(c.src, start, "miss", HASH, partitions=2).select("id"),
+                lambda start: with_snowflake_ids(outputs.bankcard_rows(c.src, "all", HASH), ["group_user_id", "bank_account_number"], start, partitions=2).select("id"),
+            ]
+        ),
+        ID_START,
+    ),
+    f"SELECT n AS ids, n AS distinct_ids, 0 AS out_of_range FROM (SELECT (SELECT count(*) FROM ({o.card_sql(o.CARD_HIT)}))"
+    f" + (SELECT count(*) FROM ({o.card_sql(f'SELECT * FROM st_card WHERE {o.CARD_MISS}')})) + (SELECT count(*) FROM ({o.card_sql(o.CARD_FILLED)})) AS n)",
+)
 add("q4_user_product_bulk", lambda c: outputs.product_output(c.src), o.PRODUCT)
 add(
     "q4_user_product_incremental",

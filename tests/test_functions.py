@@ -105,3 +105,7 @@ def test_snowflake_limits(spark):
         ids.IdLayout(datacenter=32)
     with pytest.raises(ValueError):
         ids.with_snowflake_ids(spark.range(1), ["id"], 0, ids.IdLayout(), 17)
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    with pytest.raises(ValueError):  # the user's number of tasks is not lowered in silence
+        ids.with_snowflake_ids(spark.range(1), ["id"], 0, ids.IdLayout())
+    spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -1,10 +1,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalog.queries import QUERIES as CATALOG
 from tests.compare import compare, connect
 from tests.conftest import FOLDER
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = entry.oracle_sql()
+QUERIES = {name: entry.queries()[name] for name in CATALOG}
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +24,5 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-def test_only_generated_ids_lack_a_statement():
-    assert set(QUERIES) - set(SQL) == {"f24_snowflake_id", "q3_user_bankcard_with_ids"}
+def test_every_query_has_a_statement():
+    assert set(QUERIES) <= set(SQL)

@@ -65,14 +65,27 @@ def with_snowflake_ids(
     name: str = "id",
 ) -> DataFrame:
     """Adds unique ids. Rows are placed and ordered by ``keys``, so a task that runs again gives
-    every row the id it had before. ``start_ms`` must not be reused by another run."""
+    every row the id it had before. A task of n rows uses n / 2^sequence_bits milliseconds from
+    ``start_ms`` on; the next run must start after the last one used (``free_start_ms``)."""
     layout = layout or spread_layout()
-    partitions = partitions or min(layout.free_workers, _default_partitions(df))
+    partitions = partitions or _default_partitions(df)
     if partitions > layout.free_workers:
-        raise ValueError(f"{partitions} partitions but only {layout.free_workers} free worker ids")
+        raise ValueError(f"{partitions} partitions but only {layout.free_workers} free worker ids: pass partitions or another layout")
     placed = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
     return placed.withColumn(name, snowflake_id(start_ms, layout))
 
 
+def id_time_ms(id_column: str, layout: IdLayout) -> Column:
+    """The millisecond an id was made of."""
+    shift = layout.datacenter_bits + layout.worker_bits + layout.sequence_bits
+    return F.shiftright(F.col(id_column), shift) + F.lit(layout.epoch_ms)
+
+
+def free_start_ms(earlier: DataFrame, wanted_ms: int, layout: IdLayout | None = None, name: str = "id") -> int:
+    """``wanted_ms``, or the first millisecond after all ids in ``earlier`` if that is later."""
+    last = earlier.agg(F.max(id_time_ms(name, layout or spread_layout()))).first()[0]
+    return wanted_ms if last is None else max(wanted_ms, last + 1)
+
+
 def _default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

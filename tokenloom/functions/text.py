@@ -80,8 +80,8 @@ def raw_hex(c: ColumnLike) -> Column:
     return F.hex(as_column(c))
 
 
-def spread_null_key(key: ColumnLike, row_key: ColumnLike, spread: int = 1024) -> Column:
-    """The key itself, or for NULL one of ``spread`` stand-ins, so that rows without a key do not
-    all hash to one task. Stand-ins must be kept from matching by an extra join condition."""
-    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(as_column(row_key)), F.lit(spread)).cast("string"))
+def spread_null_key(key: ColumnLike, row_key: ColumnLike) -> Column:
+    """The key itself, or for NULL a stand-in of the row's own, so that rows without a key spread over
+    all tasks. Stand-ins must be kept from matching by an extra join condition."""
+    stand_in = F.concat(F.lit("\u0000"), F.xxhash64(as_column(row_key)).cast("string"))
     return F.coalesce(as_column(key), stand_in)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 import os
+import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql.utils import AnalysisException
 
-from tokenloom.operators.dictionary import seed_dictionary
+from tokenloom.operators.dictionary import seed_dictionary, with_next_ids
 from tokenloom.operators.tokenize import (
     HashTokenizer,
     Tokenizer,
@@ -19,11 +21,11 @@ from tokenloom.operators.tokenize import (
 )
 from tokenloom.plans import outputs, verify
 from tokenloom.plans.assemble import assemble_application, assemble_bankcard, assemble_user, assemble_user_info
-from tokenloom.settings import checkpointed, shared_folder, tune
+from tokenloom.settings import Workspace, checkpointed, tune
 from tokenloom.sources.changes import scan_changes
-from tokenloom.sources.schemas import TARGET_KEYS
+from tokenloom.sources.schemas import SOURCE_SCHEMAS, TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable, materialize, write_detail
-from tokenloom.sources.tables import Sources, parquet_sources
+from tokenloom.sources.tables import Sources, parquet_sources, typed_view
 from tokenloom.streaming.handoff import record_start, start_position
 from tokenloom.streaming.enqueue import WAIT_SECONDS
 from tokenloom.streaming.rebuild import ProfileJob, RebuildJob, start
@@ -35,10 +37,11 @@ OUTPUTS = ("user", "user_info", "user_bankcard", "user_product", "application",
 
 
 def bulk(spark: SparkSession, sources: Sources, target: str, tokenizer: Tokenizer, names=OUTPUTS) -> int:
-    """Writes every output as batch 0, first the rows with tokens, then those that need some."""
-    start_ms = record_start(spark, f"{target}/_start")
+    """Writes a new version of every output, first the rows with tokens, then those that need some."""
+    start_ms = int(time.time() * 1000)
     for name in names:
         table = KeyedTable(spark, f"{target}/{name}", TARGET_KEYS[name])
+        before, table = table, table.new_version()
         if name == "user_product":
             table.upsert(outputs.product_output(sources), 0)
         elif name == "loan":
@@ -47,10 +50,18 @@ def bulk(spark: SparkSession, sources: Sources, target: str, tokenizer: Tokenize
             table.upsert(outputs.id_mapping_output(sources), 0)
         else:
             for batch_id, phase in enumerate(("hit", "miss")):
-                table.upsert(_phase_rows(name, sources, phase, tokenizer, start_ms + batch_id), batch_id)
+                ids = _id_start(before, table, batch_id) if name == "user_bankcard" else start_ms
+                table.upsert(_phase_rows(name, sources, phase, tokenizer, ids), batch_id)
+        record_start(spark, f"{target}/_start/{name}", start_ms)
+        table.publish()
     return start_ms
 
 
+def _id_start(before: KeyedTable, table: KeyedTable, batch_id: int) -> int:
+    """Ids of a new version come after those of the one before, and those of the second phase after the first's."""
+    return max(before.id_start_ms(1 << 30), table.id_start_ms(batch_id))
+
+
 def _phase_rows(name: str, sources: Sources, phase: str, tokenizer: Tokenizer, start_ms: int):
     if name == "user":
         return outputs.user_output(sources, phase, tokenizer)
@@ -64,10 +75,16 @@ def _phase_rows(name: str, sources: Sources, phase: str, tokenizer: Tokenizer, s
 def tokenize(spark: SparkSession, sources: Sources, path: str, tokenizer: Tokenizer, retry_failed: bool = False):
     """Seeds the dictionary, tokenises its open rows, and writes it as a new version at ``path``."""
     stored = sources["vt_token_cache"]
-    new = seed_dictionary(sources, stored)
-    seeded = checkpointed(stored.unionByName(new, allowMissingColumns=True))
+    with Workspace(spark) as work:
+        new = with_next_ids(work.keep(seed_dictionary(sources, stored)), stored, work.keep)
+        return _tokenize(work, stored, new, path, tokenizer, retry_failed)
+
+
+def _tokenize(work: Workspace, stored, new, path: str, tokenizer: Tokenizer, retry_failed: bool):
+    seeded = work.keep(stored.unionByName(new, allowMissingColumns=True))
     after = preload(seeded, tokenizer, retry_failed)
-    return preload_summary(seeded, materialize(after, path, ["vt_type", "raw_value"]))
+    summary = preload_summary(seeded, materialize(after, path, ["vt_type", "raw_value"]))
+    return work.spark.createDataFrame(summary.collect(), summary.schema)  # a row for each kind
 
 
 def reconcile(sources: Sources, tokenizer: Tokenizer, log: str):
@@ -81,16 +98,17 @@ def follow(spark: SparkSession, sources_now, changes: str, target: str, name: st
 
     Batch numbers of the stream come after those of the bulk load, which are 0 and 1.
     """
-    mode, start_ms = start_position(spark, f"{target}/_start")
+    mode, start_ms = start_position(spark, f"{target}/_start/{name}")
     tables = list(WAIT_SECONDS) if name == "user_info" else TRIGGER_TABLES[name]
     stream = scan_changes(spark, changes, tables, mode, start_ms)
     table = KeyedTable(spark, f"{target}/{name}", TARGET_KEYS[name], first_batch=BULK_BATCHES)
     if name == "user_info":
-        queue = KeyedTable(spark, f"{target}/_queue", ["user_id"])
+        queue = KeyedTable(spark, f"{target}/_queue", ["user_id"], version=table.version)
         job = ProfileJob(sources_now, table, queue, tokenizer)
     else:
         job = RebuildJob(name, sources_now, table, tokenizer)
-    return start(job, stream, f"{shared_folder(spark)}/{name}", interval)
+    # the checkpoint belongs to the table it feeds: another target or a new bulk load begins anew
+    return start(job, stream, f"{target}/_checkpoints/{name}/version={table.version}", interval)
 
 
 def check(sources: Sources):
@@ -103,6 +121,18 @@ def check(sources: Sources):
     return verify.phase_counts(wide)
 
 
+def job_sources(spark: SparkSession, source: str, target: str) -> Sources:
+    """The tables under ``source`` with the dictionary that the tokenize job wrote, else the source's own, else an empty one."""
+    sources = parquet_sources(spark, source)
+    for folder in (f"{target}/vt_token_cache", f"{source}/vt_token_cache"):
+        try:
+            found = spark.read.parquet(folder)
+        except AnalysisException:
+            continue
+        return sources.using(vt_token_cache=typed_view(found, SOURCE_SCHEMAS["vt_token_cache"]))
+    return sources.using(vt_token_cache=spark.createDataFrame([], SOURCE_SCHEMAS["vt_token_cache"]))
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tokenloom")
     parser.add_argument("job", choices=["bulk", "tokenize", "reconcile", "incr", "verify"])
@@ -117,7 +147,7 @@ def main() -> None:
     tokenizer = HashTokenizer(os.environ["TOKENLOOM_HASH_KEY"])
 
     def sources_now() -> Sources:
-        return parquet_sources(spark, args.source)
+        return job_sources(spark, args.source, args.target)
 
     if args.job == "bulk":
         bulk(spark, sources_now(), args.target, tokenizer)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.codes import CLAIMED, FAILED, OK, PENDING, VT_TYPES
@@ -68,6 +68,26 @@ def insert_ignore(dictionary: DataFrame, new: DataFrame, key: list[str]) -> Data
     return new.dropDuplicates(key).join(dictionary.select(*key), key, "left_anti")
 
 
+def with_next_ids(new: DataFrame, dictionary: DataFrame, keep) -> DataFrame:
+    """Rows for the dictionary with ids that follow its largest one without gaps, times, and no retries.
+
+    Ids go by kind and value. The rows are put in ranges and written by ``keep``; every range is numbered on its own,
+    after the rows of the ranges before it.
+    """
+    ranged = keep(new.repartitionByRange(*KEY).withColumn("range", F.spark_partition_id()))
+    counts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))  # a row per range
+    offsets = counts.select("range", F.coalesce(before, F.lit(0)).alias("rows_before"))
+    last = dictionary.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last_id")).first().last_id
+    number = F.row_number().over(Window.partitionBy("range").orderBy(*KEY))
+    numbered = ranged.withColumn("number", number).join(offsets, "range")
+    values = {"id": F.lit(last) + F.col("rows_before") + F.col("number"), "retry_count": F.lit(0)}
+    now = F.current_timestamp().cast("timestamp_ntz")
+    values |= {name: now for name in ("created_at", "updated_at") if name in dictionary.columns}
+    types = dict(dictionary.dtypes)
+    return numbered.select(*new.columns, *(v.cast(types.get(name, "bigint")).alias(name) for name, v in values.items()))
+
+
 def upsert_dict(dictionary: DataFrame, results: DataFrame) -> DataFrame:
     """Applies token results (vt_type, raw_value, token, masking, status, error), one per key:
     good ones set the token and clear the error, failed ones count a retry and keep the token."""

@@ -78,8 +78,9 @@ def users_of_contact(values: DataFrame, contacts: DataFrame) -> DataFrame:
 
 
 def _carry(values: DataFrame, key: str, keyed: DataFrame) -> DataFrame:
-    """Both sides are made distinct first: repeated changes of one value, or repeated rows of one
-    user, must not multiply."""
+    """The table is cut to the values asked for before it moves; then both sides are made distinct, as
+    repeated changes of one value, or repeated rows of one user, must not multiply."""
     others = [c for c in values.columns if c != key]
     probe = values.select(*others, blank_to_null(key).alias("match")).filter("match IS NOT NULL").distinct()
-    return probe.join(keyed.distinct(), "match", "inner").drop("match")
+    asked = keyed.join(probe.select("match").distinct(), "match", "left_semi").distinct()
+    return probe.join(asked, "match", "inner").drop("match")

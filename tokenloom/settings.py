@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Workspace:
+    """Tables of one piece of work in the shared folder, gone when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.count = spark, 0
+        self.folder = f"{shared_folder(spark).rstrip('/')}/work-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write rows once. Their real size is known from then on, and a lost executor does not lose them."""
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete_folder(self.spark, self.folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Run ``df`` once and keep its rows where a lost executor does not lose them."""
     context = df.sparkSession.sparkContext

@@ -14,7 +14,7 @@ IMAGE = (
 )
 IMAGE_STRUCT = f"struct<{IMAGE.replace(', ', ',').replace(' ', ':')}>"
 CHANGE_SCHEMA = f"source_table string, op string, ts timestamp_ntz, position bigint, before {IMAGE_STRUCT}, after {IMAGE_STRUCT}"
-START_MODES = ("initial", "timestamp", "latest-offset")
+START_MODES = ("initial", "timestamp")
 
 
 def change_image(**columns: Column) -> Column:
@@ -92,16 +92,12 @@ def debezium_changes(records: DataFrame, zone: str = "Africa/Lagos") -> DataFram
 def select_changes(
     changes: DataFrame, tables: list[str] | None, mode: str, start_ms: int | None, zone: str
 ) -> DataFrame:
-    """The changes of some tables from a start on. ``latest-offset`` loses what happened before
-    the job began and is only for tests of that loss."""
+    """The changes of some tables from a start on."""
     _check_mode(mode, start_ms)
     if tables is not None:
         changes = changes.filter(F.col("source_table").isin(*tables))
     if mode == "timestamp":
         changes = changes.filter(F.col("ts") >= start_time(start_ms, zone))
-    if mode == "latest-offset":
-        now = F.convert_timezone(F.current_timezone(), F.lit(zone), F.current_timestamp().cast("timestamp_ntz"))
-        changes = changes.filter(F.col("ts") >= now)
     return changes
 
 

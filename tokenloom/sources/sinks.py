@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tokenloom.functions.ids import IdLayout, free_start_ms
 from tokenloom.operators.latest import latest_by
 from tokenloom.operators.upsert import assert_unique
+from tokenloom.settings import delete_folder
+from tokenloom.sources.starts import load_start, record_start
 
 
 def materialize(df: DataFrame, path: str, pk: list[str]) -> DataFrame:
-    """Replaces a table by a query result whose key must be unique and not NULL. The check reads
-    what was written, so the query runs once."""
-    df.write.mode("overwrite").parquet(path)
-    return assert_unique(df.sparkSession.read.parquet(path), pk)
+    """Replaces a table by a query result whose key must be unique and not NULL. The result is written
+    beside the table and checked there; only a good one takes the table's place."""
+    spark, made = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    df.write.parquet(made)
+    try:
+        assert_unique(spark.read.parquet(made), pk)
+    except Exception:
+        delete_folder(spark, made)
+        raise
+    move_over(spark, made, path)
+    return spark.read.parquet(path)
+
+
+def move_over(spark: SparkSession, made: str, path: str) -> None:
+    """A folder in the place of another. The old one is set aside until the new one is there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target, aside = jvm_path(made), jvm_path(path), jvm_path(f"{made}.old")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        files.rename(target, aside)
+    else:
+        files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{made} could not be moved to {path}")
+    files.delete(aside, True)
 
 
 class KeyedTable:
@@ -23,14 +50,43 @@ class KeyedTable:
     A batch costs what it holds, not what the table holds. Writing a batch again replaces its own
     folder, so a replay after a failure changes nothing. Deleted keys are rows marked as such.
     ``compact`` folds the batches so far into one.
+
+    A bulk load opens a new version and publishes it when it is complete; readers and streams stay with the
+    published one.
     """
 
-    def __init__(self, spark: SparkSession, path: str, pk: list[str], first_batch: int = 0):
+    def __init__(self, spark: SparkSession, path: str, pk: list[str], first_batch: int = 0, version: int | None = None):
         """``first_batch`` is added to batch ids, for a writer that comes after another."""
         self.spark, self.path, self.pk, self.first_batch = spark, path, pk, first_batch
+        self.version = _current_version(spark, path) if version is None else version
+        self.root = f"{path}/version={self.version}"
 
     def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id + self.first_batch}"
+        return f"{self.root}/batch_id={batch_id + self.first_batch}"
+
+    def new_version(self) -> KeyedTable:
+        return KeyedTable(self.spark, self.path, self.pk, self.first_batch, self.version + 1)
+
+    def publish(self) -> None:
+        """From now on this version is the table. The pointer is a row in a log, so a crash leaves the old one."""
+        row = self.spark.range(1).select(F.lit(self.version).cast("bigint").alias("version"))
+        row.coalesce(1).write.mode("append").json(f"{self.path}/_current")
+
+    def id_start_ms(self, batch_id: int, layout: IdLayout | None = None) -> int:
+        """Where the ids of a batch start: after all ids the table holds. Kept, so a replay starts there again."""
+        kept = f"{self.root}/_ids/{batch_id + self.first_batch}"
+        found = load_start(self.spark, kept)
+        if found is None:
+            wanted, earlier = int(time.time() * 1000), self._every()
+            found = record_start(self.spark, kept, wanted if earlier is None else free_start_ms(earlier, wanted, layout))
+        return found
+
+    def _every(self, before: int | None = None) -> DataFrame | None:
+        try:
+            every = self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(self.root)
+        except AnalysisException:
+            return None
+        return every if before is None else every.filter(F.col("batch_id") < before + self.first_batch)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """``batch`` holds one row per key."""
@@ -45,27 +101,35 @@ class KeyedTable:
     def _write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._folder(batch_id))
 
-    def read(self, before: int | None = None) -> DataFrame | None:
+    def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame | None:
         """Current rows, or None before the first write; ``before`` leaves out that batch and all
-        later ones, which is how things stood when it began."""
-        try:
-            every = self.spark.read.option("basePath", self.path).parquet(self.path)
-        except AnalysisException:
+        later ones, which is how things stood when it began. With ``keys`` only their rows are looked at: the
+        history is cut to them before anything is grouped."""
+        every = self._every(before)
+        if every is None:
             return None
-        if before is not None:
-            every = every.filter(F.col("batch_id") < before + self.first_batch)
+        if keys is not None:
+            every = every.join(keys.select(*self.pk).distinct(), self.pk, "left_semi")
         newest = latest_by(every, self.pk, ["batch_id"], every.columns)
         return newest.filter(~F.col("row_deleted")).select(*[c for c in every.columns if c not in ("batch_id", "row_deleted")])
 
     def compact(self, path: str) -> KeyedTable:
         """The current rows as the single batch 0 of a new table at ``path``; the old one stays."""
-        compacted = KeyedTable(self.spark, path, self.pk)
+        compacted = KeyedTable(self.spark, path, self.pk, version=0)
         rows = self.read()
         if rows is not None:
             compacted.upsert(rows, 0)
         return compacted
 
 
+def _current_version(spark: SparkSession, path: str) -> int:
+    try:
+        rows = spark.read.schema("version bigint").json(f"{path}/_current")
+    except AnalysisException:
+        return 0
+    return rows.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
 def write_detail(differences: DataFrame, path: str) -> None:
     differences.write.mode("append").option("sep", "\t").option("header", "false").csv(path)
 

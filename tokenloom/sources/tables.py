@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -36,25 +34,6 @@ class Sources(Mapping):
         return Sources({n: lambda n=n: self[n] for n in self} | {n: lambda t=t: t for n, t in tables.items()})
 
 
-class CachedLookup:
-    """A table kept by the executors for some time and then read anew, for change streams that may
-    see a lookup a little late. Without one, every micro-batch reads the table as it is."""
-
-    def __init__(self, read: Callable[[], DataFrame], ttl_s: float, clock: Callable[[], float] = time.monotonic):
-        self._read, self._ttl_s, self._clock = read, ttl_s, clock
-        self._kept: DataFrame | None = None
-        self._since = 0.0
-
-    def get(self) -> DataFrame:
-        if self._kept is not None and self._clock() - self._since >= self._ttl_s:
-            self._kept.unpersist()
-            self._kept = None
-        if self._kept is None:
-            self._kept = self._read().persist(StorageLevel.MEMORY_AND_DISK)
-            self._since = self._clock()
-        return self._kept
-
-
 def typed_view(df: DataFrame, schema: str | StructType) -> DataFrame:
     """Only the declared columns, each cast to its declared type."""
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema

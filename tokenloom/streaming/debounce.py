@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenloom.functions.times import epoch_ms
 
@@ -19,8 +18,7 @@ PASSED_SCHEMA = "user_id bigint, ts timestamp_ntz"
 
 
 def _to_ms(df: DataFrame) -> DataFrame:
-    """Times as milliseconds on their own clock, which is all a difference needs. Stamps have that
-    precision, so repeats within one are merged here, before rows move; the shortest wait counts."""
+    """Times as milliseconds on their own clock, which is all a difference needs."""
     return df.withColumn("ms", epoch_ms("ts", "UTC"))
 
 
@@ -29,15 +27,15 @@ def _from_ms(column: str):
     return whole + F.make_dt_interval(secs=(F.col(column) / F.lit(1000).cast("decimal(4,0)")).cast("decimal(18,6)"))
 
 
-def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come ordered by user and time; only the user at hand is remembered."""
-    user, last = None, None
+def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come ordered by user, run and time; only the run at hand is remembered."""
+    run, last = None, None
     for frame in frames:
         passed = []
-        rows = zip(frame["user_id"].tolist(), frame["ms"].tolist(), frame["wait_s"].tolist(), frame["stored"].tolist())
-        for at, (user_id, ms, wait_s, stored) in enumerate(rows):
-            if user_id != user:
-                user, last = user_id, None
+        rows = zip(frame["user_id"].tolist(), frame["run"].tolist(), frame["ms"].tolist(), frame["wait_s"].tolist(), frame["stored"].tolist())
+        for at, (user_id, number, ms, wait_s, stored) in enumerate(rows):
+            if (user_id, number) != run:
+                run, last = (user_id, number), None
             if stored:
                 last = ms
             elif last is None or ms - last >= wait_s * 1000:
@@ -49,47 +47,26 @@ def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def debounce(events: DataFrame, queue: DataFrame | None = None) -> DataFrame:
     """The events (user_id, ts, wait_s) that pass, given the stamps in ``queue``.
 
-    Rows are placed by user and read in time order as a stream, so no user's events are ever held
-    together in memory.
+    An event whose wait is over since the event before it passes whatever that one did, and begins a
+    run of its own: what follows depends on it alone. Runs of one event are settled by that; longer
+    ones are folded in time order, each on its own, so a user with very many events is spread over
+    tasks. Of the queue only the users at hand are read.
     """
     rows = _to_ms(events).groupBy("user_id", "ms").agg(F.min("wait_s").alias("wait_s")).withColumn("stored", F.lit(False))
     if queue is not None:
-        stamps = _to_ms(queue.select("user_id", F.col("updated_at").alias("ts")))
+        stamps = queue.join(events.select("user_id").distinct(), "user_id", "left_semi")
+        stamps = _to_ms(stamps.select("user_id", F.col("updated_at").alias("ts")))
         stamps = stamps.select("user_id", "ms", F.lit(0).alias("wait_s"), F.lit(True).alias("stored"))
         rows = rows.unionByName(stamps)
-    placed = rows.repartition("user_id").sortWithinPartitions("user_id", "ms", F.desc("stored"))
-    return placed.mapInPandas(_scan, "user_id bigint, ms bigint").select("user_id", _from_ms("ms").alias("ts"))
-
-
-def stamped(queue: DataFrame, passed: DataFrame) -> DataFrame:
-    """The queue after the passed events have stamped their users."""
-    fresh = passed.groupBy("user_id").agg(F.max("ts").alias("fresh"))
-    joined = queue.join(fresh, "user_id", "full_outer")
-    return joined.select("user_id", F.greatest("updated_at", "fresh").alias("updated_at"))
-
-
-def _pass_group(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last = state.get[0] if state.exists else None
-    events = pd.concat(list(frames)).sort_values("ms")
-    passed = []
-    for ms, wait_s in zip(events["ms"].tolist(), events["wait_s"].tolist()):
-        if last is None or ms - last >= wait_s * 1000:
-            last = ms
-            passed.append(ms)
-    if passed:
-        state.update((last,))
-        yield pd.DataFrame({"user_id": key[0], "ms": passed})
-
-
-def debounce_stream(events: DataFrame) -> DataFrame:
-    """The same on a stream, with the last stamp per user as state. What a user may send in one
-    micro-batch is bounded by the rate limit of the source."""
-    keyed = _to_ms(events).select("user_id", "ms", "wait_s").groupBy("user_id")
-    passed = keyed.applyInPandasWithState(
-        _pass_group,
-        outputStructType="user_id bigint, ms bigint",
-        stateStructType="last_ms bigint",
-        outputMode="update",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+    in_time = Window.partitionBy("user_id").orderBy("ms", F.desc("stored"))
+    gap = F.col("ms") - F.lag("ms").over(in_time)
+    begins = F.col("stored") | F.coalesce(gap >= F.col("wait_s") * 1000, F.lit(True))
+    runs = rows.withColumn("begins", begins).withColumns(
+        {"run": F.sum(F.col("begins").cast("bigint")).over(in_time), "last": F.lead("begins", 1, True).over(in_time)}
     )
+    alone = F.col("begins") & F.col("last")
+    settled = runs.filter(alone & ~F.col("stored")).select("user_id", "ms")
+    open_runs = runs.filter(~alone).select("user_id", "run", "ms", "wait_s", "stored")
+    placed = open_runs.repartition("user_id", "run").sortWithinPartitions("user_id", "run", "ms", F.desc("stored"))
+    passed = settled.unionByName(placed.mapInPandas(_fold, "user_id bigint, ms bigint"))
     return passed.select("user_id", _from_ms("ms").alias("ts"))

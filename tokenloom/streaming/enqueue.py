@@ -28,13 +28,12 @@ WAIT_SECONDS = {
 WATCHED_USER_COLUMNS = ("app_code", "device_id", "adid", "create_time")
 
 
-def enqueue_dirty(changes: DataFrame, sources, last_per_value: bool = False) -> DataFrame:
+def enqueue_dirty(changes: DataFrame, sources) -> DataFrame:
     """(user_id, ts, wait_s) for every user a change touches.
 
-    Changes of a shared value (an advertising id, a dictionary entry) touch all users with it. With
-    ``last_per_value`` the last change of a value stands for all of them, so a value shared by very
-    many users and changed very often costs one row per user. For a micro-batch that lets the same
-    users through: if any change comes late enough after a user's stamp, the last one does.
+    Changes of a shared value (an advertising id, a dictionary entry) touch all users with it. Each one
+    counts, as which of them lets a user through depends on that user's stamp; changes of a value
+    at the same moment are one.
     """
     created, updated = F.col("op") == "c", F.col("op") == "u"
 
@@ -53,13 +52,7 @@ def enqueue_dirty(changes: DataFrame, sources, last_per_value: bool = False) ->
     for table in ("user_personal_info", "user_work_related", "user_emergency_contact", "risk_user_credit_callback"):
         parts.append(users(of(table, always), F.col("after.user_id")))
 
-    def per_value(rows: DataFrame, *value: str) -> DataFrame:
-        if not last_per_value:
-            return rows
-        return rows.groupBy("wait_s", *value).agg(F.max("ts").alias("ts"))
-
     values = of("vt_token_cache", has_text("after.raw_value")).select("ts", "wait_s", "after.vt_type", "after.raw_value")
-    values = per_value(values, "vt_type", "raw_value")
     for kind, find, table in (
         ("id_number", users_of_bvn, "user_personal_info"),
         ("emergency_contact", users_of_contact, "user_emergency_contact"),
@@ -68,7 +61,7 @@ def enqueue_dirty(changes: DataFrame, sources, last_per_value: bool = False) ->
         parts.append(find(rows, sources[table]).select("user_id", "ts", "wait_s"))
 
     adjust = of("adjust_callback_record", has_text("after.adid") & (created | changed("tracker_name")))
-    adjust = per_value(adjust.select("ts", "wait_s", "after.adid"), "adid")
+    adjust = adjust.select("ts", "wait_s", "after.adid")
     parts.append(users_of_adid(adjust, sources["user"]).select("user_id", "ts", "wait_s"))
     return reduce(DataFrame.unionByName, parts).filter("user_id IS NOT NULL")
 

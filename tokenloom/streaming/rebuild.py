@@ -6,7 +6,6 @@ stale row come along, so the same row wins the key as in a bulk load.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,7 @@ from tokenloom.operators.dictionary import KEY, source_values
 from tokenloom.operators.tokenize import Tokenizer
 from tokenloom.operators.upsert import keep_existing
 from tokenloom.plans import outputs
-from tokenloom.settings import DEFAULT, Settings, checkpointed
+from tokenloom.settings import DEFAULT, Settings, Workspace
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources
@@ -27,14 +26,8 @@ from tokenloom.streaming.debounce import debounce
 from tokenloom.streaming.enqueue import enqueue_dirty
 from tokenloom.streaming.triggers import touched, trigger_keys
 
-BROADCAST_ROWS = 200_000
 
-
-def sized(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Stale keys, worked out once; sent to all tasks if there are few, else joined by exchange."""
-    kept = checkpointed(keys)
-    few = kept.limit(limit + 1).count() <= limit
-    return F.broadcast(kept) if few else kept
+Keep = Callable[[DataFrame], DataFrame]
 
 
 def _only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
@@ -43,9 +36,10 @@ def _only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return df.join(wanted, df[column] == F.col("wanted_key"), "left_semi")
 
 
-def for_users(sources: Sources, user_ids: DataFrame) -> Sources:
+def for_users(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     """All tables a user's own facts come from, cut down to some users."""
-    users = sized(_only(sources["user"], "id", user_ids))
+    user_ids = keep(user_ids)
+    users = keep(_only(sources["user"], "id", user_ids))
     cut = {"user": users}
     for table in ("user_personal_info", "user_bank_info", "user_work_related", "user_emergency_contact", "risk_user_credit_callback"):
         cut[table] = _only(sources[table], "user_id", user_ids)
@@ -56,17 +50,20 @@ def for_users(sources: Sources, user_ids: DataFrame) -> Sources:
     cut["device_network"] = _only(network, "device_uuid", owned).unionByName(_only(network, "session_uuid", sessions))
     adids = users.filter(has_text("adid")).select("adid").distinct()
     cut["adjust_callback_record"] = _only(sources["adjust_callback_record"], "adid", adids)
+    # those that several joins of an output read are cut once
+    for table in ("user_personal_info", "user_bank_info", "user_emergency_contact", "device_ids"):
+        cut[table] = keep(cut[table])
     restricted = sources.using(**cut)
     dictionary = sources["vt_token_cache"].join(source_values(restricted), KEY, "left_semi")
-    return restricted.using(vt_token_cache=dictionary)
+    return restricted.using(vt_token_cache=keep(dictionary))
 
 
-def for_user_rows(sources: Sources, user_ids: DataFrame) -> Sources:
+def for_user_rows(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     """Users with a stale row and those with the same phone number."""
     numbered = sources["user"].withColumn("mobile_norm", normalize_mobile("mobile"))
     numbers = _only(numbered, "id", user_ids).select("mobile_norm").filter("mobile_norm IS NOT NULL").distinct()
     peers = numbered.join(numbers, "mobile_norm", "left_semi").select(F.col("id").alias("user_id"))
-    return for_users(sources, peers)
+    return for_users(sources, peers, keep)
 
 
 def _orders_and_their_facts(sources: Sources, orders: DataFrame) -> dict[str, DataFrame]:
@@ -79,13 +76,13 @@ def _orders_and_their_facts(sources: Sources, orders: DataFrame) -> dict[str, Da
     }
 
 
-def for_applications(sources: Sources, scope: DataFrame) -> Sources:
-    orders = sources["user_order"].join(scope, ["user_id", "order_no"], "left_semi")
-    return for_users(sources, scope.select("user_id").distinct()).using(**_orders_and_their_facts(sources, orders))
+def for_applications(sources: Sources, scope: DataFrame, keep: Keep) -> Sources:
+    orders = keep(sources["user_order"].join(scope, ["user_id", "order_no"], "left_semi"))
+    return for_users(sources, scope.select("user_id").distinct(), keep).using(**_orders_and_their_facts(sources, orders))
 
 
-def for_loans(sources: Sources, scope: DataFrame) -> Sources:
-    orders = _only(sources["user_order"], "order_no", scope)
+def for_loans(sources: Sources, scope: DataFrame, keep: Keep) -> Sources:
+    orders = keep(_only(sources["user_order"], "order_no", scope))
     return sources.using(**_orders_and_their_facts(sources, orders))
 
 
@@ -122,27 +119,33 @@ def scope_of(output: str, keys: DataFrame, sources: Sources, changes: DataFrame
     return scope.dropna(subset=names).distinct()
 
 
-def rebuild_scope(output: str, scope: DataFrame, sources: Sources, tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
-    """The output rows of a scope, as a bulk load would write them. Cards come without an id."""
+def rebuild_scope(
+    output: str, scope: DataFrame, sources: Sources, tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT, keep: Keep | None = None
+) -> DataFrame:
+    """The output rows of a scope, as a bulk load would write them. Cards come without an id.
+
+    ``keep`` writes what several joins read; without one it goes to a workspace that stays, as the result is lazy.
+    """
+    keep = keep or Workspace(scope.sparkSession).keep
     if output == "user":
-        return outputs.user_output(for_user_rows(sources, scope), "all", tokenizer, settings)
+        return outputs.user_output(for_user_rows(sources, scope, keep), "all", tokenizer, settings)
     if output == "user_info":
-        return outputs.user_info_output(for_users(sources, scope), "all", tokenizer, settings)
+        return outputs.user_info_output(for_users(sources, scope, keep), "all", tokenizer, settings)
     if output == "user_bankcard":
-        return outputs.bankcard_rows(for_users(sources, scope), "all", tokenizer, settings)
+        return outputs.bankcard_rows(for_users(sources, scope, keep), "all", tokenizer, settings)
     if output == "user_product":
         orders = sources["user_order"].join(scope, SCOPE[output], "left_semi")
         return outputs.product_output(sources.using(user_order=orders), settings)
     if output == "application":
-        return outputs.application_output(for_applications(sources, scope), "all", tokenizer, settings)
+        return outputs.application_output(for_applications(sources, scope, keep), "all", tokenizer, settings)
     if output == "loan":
-        return outputs.loan_output(for_loans(sources, scope), settings)
+        return outputs.loan_output(for_loans(sources, scope, keep), settings)
     raise ValueError(f"no rebuild for {output}")
 
 
 def rebuild_rows(output: str, keys: DataFrame, sources: Sources, tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
-    scope = sized(scope_of(output, keys, sources))
-    return rebuild_scope(output, scope, sources, tokenizer, settings)
+    keep = Workspace(keys.sparkSession).keep
+    return rebuild_scope(output, keep(scope_of(output, keys, sources)), sources, tokenizer, settings, keep)
 
 
 def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -188,24 +191,28 @@ class RebuildJob:
         """Many changes of one key in a batch cost one rebuild. Running a batch again is harmless:
         its rows come from the tables as they are now and replace those of the first run."""
         sources = self.sources_now()
-        self.rebuild(sources, sized(self.scope(batch, sources)), batch_id)
+        with Workspace(batch.sparkSession) as work:
+            self.rebuild(sources, work.keep(self.scope(batch, sources)), batch_id, work.keep)
 
-    def rebuild(self, sources: Sources, scope: DataFrame, batch_id: int) -> None:
-        rows = rebuild_scope(self.output, scope, sources, self.tokenizer, self.settings)
-        needs_stored = self.propagate_deletes or self.output == "user_bankcard"
-        stored = self.target.read(before=batch_id) if needs_stored else None
+    def rebuild(self, sources: Sources, scope: DataFrame, batch_id: int, keep: Keep) -> None:
+        rows = rebuild_scope(self.output, scope, sources, self.tokenizer, self.settings, keep)
         if self.output == "user_bankcard":
-            rows = self._with_ids(rows, stored)
+            rows = keep(rows)
+            known = self.target.read(before=batch_id, keys=rows.select(*TARGET_KEYS["user_bankcard"]))
+            rows = self._with_ids(rows, known, batch_id)
+        stored = self.target.read(before=batch_id) if self.propagate_deletes else None
         if stored is None or not self.propagate_deletes:
             self.target.upsert(rows, batch_id)
             return
-        rows = checkpointed(rows)
+        rows = keep(rows)
         self.target.apply(rows, gone_rows(self.output, stored, rows, scope, self.settings), batch_id)
 
-    def _with_ids(self, rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-        """New cards get new ids, known cards keep theirs."""
+    def _with_ids(self, rows: DataFrame, stored: DataFrame | None, batch_id: int) -> DataFrame:
+        """New cards get new ids, known cards keep theirs. Ids start after all that the table ever held, and a
+        batch that runs again starts where it did before."""
         pk = TARGET_KEYS["user_bankcard"]
-        rows = with_snowflake_ids(rows, pk, int(time.time() * 1000), self.id_layout)
+        start_ms = self.target.id_start_ms(batch_id, self.id_layout)
+        rows = with_snowflake_ids(rows, pk, start_ms, self.id_layout)
         rows = rows.select("id", "group_user_id", "bank_code", "bank_account_number", "is_default")
         return rows if stored is None else keep_existing(rows, stored, pk, "id")
 
@@ -223,11 +230,13 @@ class ProfileJob(RebuildJob):
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         sources = self.sources_now()
-        events = enqueue_dirty(batch, sources, last_per_value=True)
-        passed = checkpointed(debounce(events, self.queue.read(before=batch_id)))
-        stamps = passed.groupBy("user_id").agg(F.max("ts").alias("updated_at"))
-        self.rebuild(sources, sized(stamps.select("user_id")), batch_id)
-        self.queue.upsert(stamps, batch_id)
+        with Workspace(batch.sparkSession) as work:
+            events = work.keep(enqueue_dirty(batch, sources))
+            users = events.select("user_id").distinct()
+            passed = debounce(events, self.queue.read(before=batch_id, keys=users))
+            stamps = work.keep(passed.groupBy("user_id").agg(F.max("ts").alias("updated_at")))
+            self.rebuild(sources, stamps.select("user_id"), batch_id, work.keep)
+            self.queue.upsert(stamps, batch_id)
 
 
 def start(job: RebuildJob, changes: DataFrame, checkpoint: str, interval: str | None = "5 seconds") -> StreamingQuery:
