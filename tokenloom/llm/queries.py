@@ -104,9 +104,64 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_LICENCE_TERMS = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '' AND x NOT IN ({1}))"
+
+
+def _licences_sql() -> str:
+    def quote(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def terms(column: str) -> str:
+        return _LICENCE_TERMS.format(column, ", ".join(map(quote, licenses.STOP_WORDS)))
+
+    templates = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in licenses.TEMPLATES)
+    return rf"""
+WITH template(license, body) AS (VALUES {templates}),
+tt AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({terms('body')}) AS term FROM template) GROUP BY ALL),
+cut AS (SELECT doc_id, string_split(text, chr(10)) AS values FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(values) AS value, generate_subscripts(values, 1) - 1 AS line FROM cut),
+lt AS (SELECT doc_id, line, term, count(*) AS tf FROM (SELECT doc_id, line, unnest({terms('value')}) AS term FROM lines) GROUP BY ALL),
+known AS (SELECT * FROM lt WHERE term IN (SELECT term FROM tt)),
+total AS (SELECT sum(len(string_split(coalesce(text, ''), chr(10)))) AS n FROM documents),
+idf AS (SELECT term, ln((max(n) + 1) / (count(*) + 1)) + 1 AS idf FROM known, total GROUP BY term),
+w AS (SELECT license, term, tf * coalesce(idf, 1) AS w FROM tt LEFT JOIN idf USING (term)),
+unit AS (SELECT license, term, w / sqrt(sum(w * w) OVER (PARTITION BY license)) AS w FROM w),
+norm AS (
+  SELECT doc_id, line, sqrt(sum(CASE WHEN idf IS NOT NULL THEN tf * idf * tf * idf ELSE tf * pow(ln(n + 1) + 1, 2) END)) AS norm
+  FROM lt LEFT JOIN idf USING (term), total GROUP BY doc_id, line),
+score AS (
+  SELECT k.doc_id, k.line, u.license, round(sum(k.tf * i.idf * u.w) / max(norm), 6) AS similarity
+  FROM known k JOIN idf i USING (term) JOIN unit u USING (term) JOIN norm USING (doc_id, line) GROUP BY k.doc_id, k.line, u.license),
+hit AS (SELECT * FROM score WHERE similarity >= {licenses.THRESHOLD}),
+best AS (
+  SELECT doc_id, first(license ORDER BY similarity DESC, line, license) AS license, max(similarity) AS similarity,
+         count(DISTINCT line) AS matched FROM hit GROUP BY doc_id),
+own AS (
+  SELECT d.doc_id, concat_ws('/', source, lang, d.doc_id) AS path, license, similarity, matched,
+         len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]'))) AS worded
+  FROM documents d LEFT JOIN best USING (doc_id)),
+placed AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory, regexp_extract(path, '[^/]*$') AS base FROM own),
+covering AS (
+  SELECT directory AS above, first(license ORDER BY similarity DESC, path, license) AS from_above FROM placed
+  WHERE license IS NOT NULL AND (regexp_matches(base, '(?i)^(licen[cs]e|copying|notice)([._-].*)?$') OR matched = worded) GROUP BY directory),
+upward AS (
+  SELECT directory, array_to_string(parts[1:k], '/') AS above
+  FROM (SELECT directory, string_split(directory, '/') AS parts, unnest(range(1, len(string_split(directory, '/')) + 1)) AS k
+        FROM (SELECT DISTINCT directory FROM placed))),
+nearest AS (
+  SELECT directory, last(from_above ORDER BY length(above)) AS from_above, last(above ORDER BY length(above)) AS above
+  FROM upward JOIN covering USING (above) GROUP BY directory)
+SELECT doc_id, path, coalesce(license, from_above) AS license, similarity,
+  CASE WHEN license IS NOT NULL THEN 'own' WHEN above IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN license IS NULL THEN above END AS inherited_from
+FROM placed LEFT JOIN nearest USING (directory)
+"""
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_licenses": _licences_sql(),
     "op5_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
