@@ -178,6 +178,10 @@ def test_count_rules(spark):
     assert based.first().result == "PASS"
 
 
+class OwnTokenizer(HashTokenizer):
+    """A tokenizer of the user's own, named on the command line."""
+
+
 def test_jobs_from_seed_to_change_stream(spark, tables, tmp_path):
     folder, src = tables
     target = str(tmp_path / "target")
@@ -203,6 +207,6 @@ def test_jobs_from_seed_to_change_stream(spark, tables, tmp_path):
     jobs.follow(spark, lambda: src, f"{target}/changes", target, "user", HASH, None).awaitTermination()
     assert rows(users.read()) == loaded
     assert spark.read.parquet(f"{target}/user/version=1/batch_id=2").count() > 0
-    jobs.bulk(spark, src, target, HASH, ("user",))
+    jobs.bulk(spark, src, target, jobs.make_tokenizer("tests.test_writes:OwnTokenizer"), ("user",))
     assert rows(KeyedTable(spark, f"{target}/user", TARGET_KEYS["user"]).read()) == loaded
     assert {r.tbl for r in jobs.check(src).collect()} == {"user", "user_info", "user_bankcard", "application"}

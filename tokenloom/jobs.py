@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 import time
 
@@ -133,6 +134,13 @@ def job_sources(spark: SparkSession, source: str, target: str) -> Sources:
     return sources.using(vt_token_cache=spark.createDataFrame([], SOURCE_SCHEMAS["vt_token_cache"]))
 
 
+def make_tokenizer(name: str) -> Tokenizer:
+    """The tokenizer class named ``module:Class``; the hash takes its key from TOKENLOOM_HASH_KEY."""
+    module, _, kind = name.partition(":")
+    found = getattr(importlib.import_module(module), kind)
+    return found(os.environ["TOKENLOOM_HASH_KEY"]) if found is HashTokenizer else found()
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tokenloom")
     parser.add_argument("job", choices=["bulk", "tokenize", "reconcile", "incr", "verify"])
@@ -141,10 +149,11 @@ def main() -> None:
     parser.add_argument("--changes", help="folder of change files (incr)")
     parser.add_argument("--output", choices=OUTPUTS[:-1], help="output to follow (incr)")
     parser.add_argument("--interval", default="5 seconds")
+    parser.add_argument("--tokenizer", default="tokenloom.operators.tokenize:HashTokenizer", help="module:Class, made without arguments")
     args = parser.parse_args()
 
     spark = tune(SparkSession.builder.appName(f"tokenloom-{args.job}").getOrCreate())
-    tokenizer = HashTokenizer(os.environ["TOKENLOOM_HASH_KEY"])
+    tokenizer = make_tokenizer(args.tokenizer)
 
     def sources_now() -> Sources:
         return job_sources(spark, args.source, args.target)
