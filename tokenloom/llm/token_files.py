@@ -112,7 +112,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, b
     (
         docs.select(F.col("doc_id").cast("long"), "text")
         .mapInArrow(_encoder(tokenizer, end_id, sorted(set(bounds))), _ENCODED)
-        .repartitionByRange(n, "shard")
+        .repartitionById(n, F.col("shard"))  # no sampling, which would encode all texts once more
         .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
         .mapInArrow(_write_blocks(block_ids), _BLOCKS)
         .write.mode("overwrite").parquet(f"{path}/blocks")
