@@ -17,8 +17,13 @@ STRIDE = 1024
 _COUNT = np.array([1, 0, *PER_WORD], np.int64)
 
 
+_SHORT = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit lengths of the values, 0 for 0."""
+    if int(values.max()) < len(_SHORT):
+        return _SHORT[values]
     bits = np.frexp(values.astype(np.float64))[1]
     # rounding to double can carry into the next power of two, which only wide values meet
     return np.where((values >> np.maximum(bits - 1, 0).astype(np.uint64)) == 0, np.maximum(bits - 1, 0), bits).astype(np.uint8)
@@ -49,24 +54,25 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     chosen = _selectors(values)
-    after = (np.arange(n) + _COUNT[chosen]).tolist()
+    step = _COUNT[chosen].astype(np.uint8).tobytes()
     at, k = [], 0
     while k < n:
         at.append(k)
-        k = after[k]
+        k += step[k]
     at = np.array(at)
     selector = chosen[at]
     place = np.arange(len(at)) + np.cumsum(selector == 0) - (selector == 0)
     words = np.zeros(int(len(at) + (selector == 0).sum()), np.uint64)
     padded = np.r_[values, np.zeros(60, np.uint64)]
     for s in np.unique(selector):
-        mine = selector == s
+        mine = np.flatnonzero(selector == s)
+        first = at[mine]
         if s == 0:
-            words[place[mine] + 1] = values[at[mine]]
+            words[place[mine] + 1] = values[first]
             continue
-        word = np.full(int(mine.sum()), np.uint64(s) << np.uint64(60))
+        word = np.full(len(mine), np.uint64(s) << np.uint64(60))
         for i in range(PER_WORD[s - 2]):
-            word |= padded[at[mine] + i] << np.uint64(i * WIDTH[s - 2])
+            word |= padded[first + i] << np.uint64(i * WIDTH[s - 2])
         words[place[mine]] = word
     before = np.zeros(len(words), np.int64)
     before[place] = at
