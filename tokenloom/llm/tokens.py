@@ -40,7 +40,7 @@ class WordTokenizer:
     tokenizer drops white space, lowers case and splits letters from signs (tests compare the ids).
     """
 
-    def __init__(self, path: str, limit: int = 1 << 20):
+    def __init__(self, path: str, limit: int = 1 << 19):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
