@@ -202,8 +202,8 @@ add(
 )
 add(
     "p12_conform_application",
-    lambda c: conform.conform(outputs.application_output(c.src), "application").select("application_no", "sn", "term", "due_date", "coupon_code", "status"),
-    f"SELECT application_no, sn, term, cast(NULL AS date) AS due_date, coupon_code, status FROM ({o.app_sql(o.APP_HIT)})",
+    lambda c: conform.conform(outputs.application_output(c.src), "application"),
+    f"SELECT *, cast(NULL AS date) AS due_date, cast(NULL AS date) AS due_date_final FROM ({o.app_sql(o.APP_HIT)})",
 )
 add(
     "p13_typed_view",
@@ -419,8 +419,10 @@ add(
 )
 add(
     "n5_merge_contacts",
-    lambda c: c.src["user_order"].select("id", documents.merge_contacts(documents.repayment_plan_json(), F.lit('[{"mobile":null}]')).alias("merged")),
-    f"SELECT o.id, left({o.PLAN}, length({o.PLAN}) - 1) || ',\"emergency_contacts\":[{{\"mobile\":null}}]}}' AS merged FROM src_user_order o",
+    lambda c: c.src["user_order"].join(
+        assemble.contacts_json_by_user(c.src).select("user_id", documents.to_json_text(F.col("emergency_contacts")).alias("contacts")), "user_id", "left"
+    ).select("id", documents.merge_contacts(documents.repayment_plan_json(), F.col("contacts")).alias("merged")),
+    f"SELECT o.id, left({o.PLAN}, length({o.PLAN}) - 1) || ',\"emergency_contacts\":' || coalesce(cast(c.contacts AS varchar), '[]') || '}}' AS merged FROM src_user_order o LEFT JOIN contacts_staged c ON o.user_id = c.user_id",
 )
 
 # --- dictionary and tokenizer --------------------------------------------------------------------
