@@ -94,26 +94,38 @@ def without_block(fp: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     return below | (above << low), out
 
 
+_FLIPS = np.r_[np.uint64(0), np.uint64(1) << np.arange(_REST, dtype=np.uint64)]
+
+
 def _emit(buckets: int):
-    """Every fingerprint's ball of radius one around each of its parts: (value, block left out, fp, changed bit)."""
-    flips = np.r_[np.uint64(0), np.uint64(1) << np.arange(_REST, dtype=np.uint64)]
+    """Every fingerprint's ball of radius one around each of its parts, by value.
+
+    A record is the fingerprint and the number of the value among its own (block left out, then changed bit), from which
+    the receiver works out the value.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             every = np.asarray(batch.column(0)).view(np.uint64)
             for lo in range(0, len(every), 1 << 14):
                 fp = every[lo : lo + (1 << 14)]
-                parts = []
-                for block in range(BLOCKS):
-                    rest, _ = without_block(fp, block)
-                    value = (rest[:, None] ^ flips[None, :]).ravel() | np.uint64(block << (_REST))
-                    parts.append((value, np.repeat(fp, len(flips)), np.tile(np.arange(len(flips), dtype=np.uint8), len(fp))))
-                value, owner, bit = (np.concatenate(p) for p in zip(*parts, strict=True))
-                yield from blob_batches((mixed(value) % np.uint64(buckets)).astype(np.int32), [value, owner, bit])
+                number = np.repeat(np.arange(BLOCKS * len(_FLIPS), dtype=np.uint8), len(fp))
+                owner = np.tile(fp, BLOCKS * len(_FLIPS))
+                bucket = mixed(values(owner, number)) % np.uint64(buckets)
+                yield from blob_batches(bucket.astype(np.int32), [owner, number])
 
     return run
 
 
+def values(fp: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The values of the given numbers: what is left of fp, one bit changed or none, below the block's number."""
+    block, bit = np.divmod(number, np.uint8(len(_FLIPS)))
+    low = block.astype(np.uint64) * np.uint64(_WIDTH)
+    below = fp & ((np.uint64(1) << low) - np.uint64(1))
+    rest = below | (((fp >> low) >> np.uint64(_WIDTH)) << low)
+    return (rest ^ _FLIPS[bit]) | (block.astype(np.uint64) << np.uint64(_REST))
+
+
 def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).astype(np.uint8)
 
@@ -165,7 +177,8 @@ def _bucket_links(fp: np.ndarray, bit: np.ndarray, block: int) -> tuple[np.ndarr
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, blobs in buckets_in_order(batches):
-        value, fp, bit = read_blobs(blobs, ["<u8", "<u8", "u1"])
+        fp, number = read_blobs(blobs, ["<u8", "u1"])
+        value, bit = values(fp, number), number % np.uint8(len(_FLIPS))
         order = np.argsort(value, kind="stable")
         value, fp, bit = value[order], fp[order], bit[order]
         same = value[1:] == value[:-1]
