@@ -83,5 +83,6 @@ def raw_hex(c: ColumnLike) -> Column:
 def spread_null_key(key: ColumnLike, row_key: ColumnLike) -> Column:
     """The key itself, or for NULL a stand-in of the row's own, so that rows without a key spread over
     all tasks. Stand-ins must be kept from matching by an extra join condition."""
-    stand_in = F.concat(F.lit("\u0000"), F.xxhash64(as_column(row_key)).cast("string"))
+    # 32 bits in seven characters: rows without a key stay short, so a hot key still stands out by its bytes
+    stand_in = F.concat(F.lit("\u0000"), F.conv(F.hex(F.hash(as_column(row_key)).bitwiseAND(0x7FFFFFFF)), 16, 36))
     return F.coalesce(as_column(key), stand_in)
