@@ -11,7 +11,7 @@ A byte goes if a ``SPAN``-byte string over it also starts in a document with a s
   gram agree. Only those runs are read again, and their strings are sorted one by one.
 
 Every task reduces equal contexts to the smallest doc_id before anything moves, so a passage that very many documents share is one
-record per task. Hashes that decide equality have 96 bits.
+record per task. Equality is decided by hashes of at least 72 bits beside those that choose the shard.
 
 Defined cases: null text is empty; strings never cross documents; documents with equal doc_id don't count as earlier than each other;
 a null doc_id is neither earlier nor later than any document, so its text stays whole; an empty table gives no rows; other
@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import BLOB_SCHEMA, blob_batches, buckets_in_order, mixed, read_blobs
+from tokenloom.llm.common import BLOB_SCHEMA, blob_batches, buckets_in_order, mixed, partitions, read_blobs
 
 SPAN = 50
 GRAM = 16
 #: Bytes of text in a part of the documents and in a shard of samples.
 PART_BYTES = 16 << 20
 CHUNK = 1 << 18
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 _WINDOW = SPAN - GRAM + 1
 _SIDE = (SPAN - GRAM) // 2
@@ -44,8 +44,9 @@ _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _STEP = mixed(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
 
 #: Records on their way: samples, requests to look closer, single strings, and ranges to remove.
-SAMPLE = ["<u4", "<u8", "<i4", "<i8", "<u4", "<u4", "u1", "<u2", "<u2"]  # name, context, part, doc, row, start, strings, before, after
-STRING = ["<u4", "<u8", "<i4", "<i8", "<u4", "<u4", "u1"]  # hash, hash, part, doc, row, start, 1
+#: What decides equality comes first: for samples 24 bits of name with 40 of context, then 8 of context with 12 of each side.
+SAMPLE = ["<u8", "<u4", "<i4", "<i8", "<u4", "<u4", "u1", "u1"]  # key, rest, part, doc, row, start, strings, last string to gram
+STRING = ["<u8", "u1", "<i4", "<i8", "<u4", "<u4", "u1"]  # key, rest, part, doc, row, start, 1
 RANGE = ["<i8", "<u4", "<u4", "<u4"]  # doc, row, start, bytes or strings
 _ROWS = "part int, kind int, blob binary"
 
@@ -88,17 +89,18 @@ class Grams:
         return mixed(_join(_join(_join(g[at], g[at + 16], 4), g[at + 32], 5), self.two[at + 48], 6))
 
     def side(self, at: np.ndarray) -> np.ndarray:
-        """16 bits of the ``_SIDE`` bytes that start at ``at``, never 0."""
-        return (mixed(_join(self.gram[at], self.one[at + GRAM], 7)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+        """12 bits of the ``_SIDE`` bytes that start at ``at``, never 0."""
+        return (mixed(_join(self.gram[at], self.one[at + GRAM], 7)) % np.uint64(4095) + np.uint64(1)).astype(np.uint32)
 
 
 def sample_runs(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of strings that share a sampled suffix, in documents that end at ``ends``.
 
-    Gives first start, number of strings, name, context, and the bytes before and after the gram (0: no string has them).
+    Gives first start, number of strings, name, context, hashes of the bytes before and after the gram (0: no string has
+    them), and how far the gram is from the last start.
     """
     n = len(raw)
-    none = (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.uint16),) * 2
+    none = (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.uint32),) * 2 + (np.empty(0, np.int64),)
     if n < SPAN:
         return none
     grams = Grams(raw)
@@ -123,10 +125,10 @@ def sample_runs(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     count = last - first + 1
     context = mixed(_join(_join(grams.span(first), grams.span(last), 0), count.astype(np.uint64), 1))
     left, right = gram - first >= _SIDE, gram - last <= _SIDE
-    before, after = np.zeros(len(head), np.uint16), np.zeros(len(head), np.uint16)
+    before, after = np.zeros(len(head), np.uint32), np.zeros(len(head), np.uint32)
     before[left] = grams.side(gram[left] - _SIDE)
     after[right] = grams.side(gram[right] + GRAM)
-    return first, count, name, context, before, after
+    return first, count, name, context, before, after, gram - last
 
 
 def chunks(raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -161,19 +163,18 @@ def _ranges(part, doc, row, start, strings) -> Iterator[pa.RecordBatch]:
 
 
 def _least(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Records sorted by (name, context, doc), the heads of equal (name, context), and which records have a larger doc."""
+    """Records sorted by (key, rest, doc), the heads of equal (key, rest), and which records have a larger doc."""
     order = np.lexsort((columns[3], columns[1], columns[0]))
     columns = [c[order] for c in columns]
-    name, context, doc = columns[0], columns[1], columns[3]
-    fresh = np.r_[True, (name[1:] != name[:-1]) | (context[1:] != context[:-1])] if len(name) else np.empty(0, bool)
+    key, rest, doc = columns[0], columns[1], columns[3]
+    fresh = np.r_[True, (key[1:] != key[:-1]) | (rest[1:] != rest[:-1])] if len(key) else np.empty(0, bool)
     head = np.flatnonzero(fresh)
     later = doc > np.repeat(doc[head], np.diff(np.r_[head, len(doc)]))
     return columns, head, later
 
 
 def _send(hashes: np.ndarray, columns: list[np.ndarray], shards: int) -> Iterator[pa.RecordBatch]:
-    """Records to their shards, without those that this task already knows to repeat an earlier document."""
-    columns = [(hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32), *columns]
+    """Records to the shards of their hashes, without those that this task already knows to repeat an earlier document."""
     shard = ((hashes >> np.uint64(32)) % np.uint64(shards)).astype(np.int32)
     order = np.arange(len(shard))
     columns, _, later = _least([*columns, shard, order])
@@ -203,11 +204,13 @@ def _sample(shards: int):
             known = np.asarray(batch.column(1).is_valid())
             docs, parts = np.asarray(batch.column(1).fill_null(0)), np.asarray(batch.column(0))
             for lo, hi in chunks(raw, at):
-                first, count, name, context, before, after = sample_runs(raw[at[lo] : at[hi]], at[lo + 1 : hi + 1] - at[lo])
+                first, count, name, context, before, after, gap = sample_runs(raw[at[lo] : at[hi]], at[lo + 1 : hi + 1] - at[lo])
                 k = lo + np.searchsorted(at[lo + 1 : hi + 1] - at[lo], first, side="right")
                 ok = known[k]
                 start = (first + at[lo] - at[k]).astype(np.uint32)
-                found = (name, context, parts[k].astype(np.int32), docs[k], rows[k], start, count.astype(np.uint8), before, after)
+                key = (name << np.uint64(40)) | (context >> np.uint64(24))
+                rest = ((context & np.uint64(0xFF)).astype(np.uint32) << np.uint32(24)) | (before << np.uint32(12)) | after
+                found = (name, key, rest, parts[k].astype(np.int32), docs[k], rows[k], start, count.astype(np.uint8), gap.astype(np.uint8))
                 held.append(tuple(c[ok] for c in found))
                 size += int(ok.sum())
                 if size >= FLUSH:
@@ -224,11 +227,35 @@ def _rows(part: np.ndarray, kind: int, columns: list[np.ndarray]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([kind] * batch.num_rows, pa.int32()), batch.column(1)], names=["part", "kind", "blob"])
 
 
-def _alike(name: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Contexts whose name and side (not 0) another context has too."""
+def _alike(name: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Contexts whose name and side (not 0) a context of another first document has too."""
     key = (name.astype(np.uint64) << np.uint64(16)) | side
-    _, back, count = np.unique(key, return_inverse=True, return_counts=True)
-    return (side != 0) & (count[back] > 1)
+    order = np.argsort(key, kind="stable")
+    head = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]])
+    least, most = np.minimum.reduceat(doc[order], head), np.maximum.reduceat(doc[order], head)
+    found = np.empty(len(key), bool)
+    found[order] = np.repeat(least < most, np.diff(np.r_[head, len(key)]))
+    return found & (side != 0)
+
+
+def _unsure(columns: list[np.ndarray], head: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, int, list[np.ndarray]]:
+    """Strings that an unlike context of the same name in another document may hold: those with the bytes before or
+    after that both share.
+
+    A string has at least ``_SIDE`` bytes before its gram, or that many after it, or both.
+    """
+    key, rest, part, doc, row, start, strings, gap = columns
+    name = (key >> np.uint64(40))[head]
+    before = _alike(name, (rest >> np.uint32(12))[head] & np.uint32(0xFFF), doc[head])
+    after = _alike(name, rest[head] & np.uint32(0xFFF), doc[head])
+    size = np.diff(np.r_[head, len(doc)])
+    before, after = np.repeat(before, size) & ~later, np.repeat(after, size) & ~later
+    first, last = start.astype(np.int64), start.astype(np.int64) + strings - 1
+    middle = last + gap - _SIDE  # up to here strings hold the bytes before, from here on those after
+    lo = np.where(before, first, np.maximum(first, middle))
+    hi = np.where(after, last, np.minimum(last, middle))
+    some = (before | after) & (lo <= hi)
+    return part[some], 1, [doc[some], row[some], lo[some].astype(np.uint32), (hi - lo + 1)[some].astype(np.uint32)]
 
 
 def _compare(kinds: list[str]):
@@ -247,9 +274,7 @@ def _compare(kinds: list[str]):
                     parts = pa.array([-1 - p for p in batch.column(0).to_pylist()], pa.int32())
                     yield pa.RecordBatch.from_arrays([parts, pa.array([0] * batch.num_rows, pa.int32()), batch.column(1)], names=["part", "kind", "blob"])
             if len(columns) > 7:
-                name, before, after = columns[0][head], columns[7][head], columns[8][head]
-                unsure = np.repeat(_alike(name, before) | _alike(name, after), np.diff(np.r_[head, len(doc)])) & ~later
-                yield from _rows(part[unsure], 1, [doc[unsure], row[unsure], start[unsure], strings[unsure].astype(np.uint32)])
+                yield from _rows(*_unsure(columns, head, later))
 
     return run
 
@@ -293,8 +318,8 @@ def _look_closer(shards: int):
         doc, row, start, strings = read_blobs(_blobs(found, 1), RANGE) if found.num_rows else [np.empty(0, np.int64)] * 4
         if len(doc):
             here = _Part(texts)
-            for lo in range(0, len(doc), 1 << 15):
-                d, r, s, g = (c[lo : lo + (1 << 15)] for c in (doc, row, start, strings))
+            for lo in range(0, len(doc), 1 << 13):
+                d, r, s, g = (c[lo : lo + (1 << 13)] for c in (doc, row, start, strings))
                 s, g = s.astype(np.int64), g.astype(np.int64)
                 size = g + SPAN - 1
                 ends = np.cumsum(size)
@@ -307,7 +332,7 @@ def _look_closer(shards: int):
                 spot = (ends - size)[which] + inside
                 first = grams.span(spot)
                 second = mixed(first ^ mixed(grams.gram[spot] + grams.gram[spot + SPAN - GRAM] * _STEP[2]))
-                columns = [second, np.full(len(which), part, np.int32), d[which], r[which], (s[which] + inside).astype(np.uint32), np.ones(len(which), np.uint8)]
+                columns = [second, (first & np.uint64(0xFF)).astype(np.uint8), np.full(len(which), part, np.int32), d[which], r[which], (s[which] + inside).astype(np.uint32), np.ones(len(which), np.uint8)]
                 out += _send(first, columns, shards)
         schema = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
         return pa.Table.from_batches(out, schema) if out else schema.empty_table()
@@ -361,7 +386,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     exchange. In between only samples, single strings and ranges move.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-total // PART_BYTES))
+    count = max(partitions(docs.sparkSession), -(-total // PART_BYTES))
     part = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(count)).cast("int")
     dealt = docs.select(part.alias("part"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartition(count, "part").sortWithinPartitions("part", "doc_id", "text")
