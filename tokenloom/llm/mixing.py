@@ -73,6 +73,28 @@ def training_position(share: Column, schedule: Schedule) -> Column:
     return found
 
 
+def words_before(rows: DataFrame, order: Sequence[str], scratch: Scratch) -> DataFrame:
+    """``rows`` (source, size, ..) with ``begin``, the words of the source before a row in ``order``, which starts with source."""
+    ranged = rows.repartitionByRange(partitions(rows.sparkSession), *order).withColumn("range", F.spark_partition_id())
+    ranged = scratch.keep(ranged, "ranges")
+    parts = ranged.groupBy("source", "range").agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("words_before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).select(F.col("source").alias("s"), F.col("range").alias("r"), "words_before")
+    inside = Window.partitionBy("source", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = placed.join(parts, placed["source"].eqNullSafe(parts["s"]) & (placed["range"] == parts["r"])).drop("s", "r")
+    return placed.withColumn("begin", F.col("words_before") + F.col("inside"))
+
+
+def scheduled(start: Column, wanted: Column, schedules: Sequence[Schedule]) -> Column:
+    """The training position of a source (source_rank) that has spent ``start`` of the ``wanted`` words."""
+    share = start / F.greatest(wanted, F.lit(1)).cast("double")
+    position = F.lit(None).cast("double")
+    for tier, schedule in enumerate(schedules):
+        position = F.when(F.col("source_rank") % len(schedules) == tier, training_position(share, schedule)).otherwise(position)
+    return position
+
+
 def plan_mix(
     docs: DataFrame, weights: Sequence[int], most: int, schedules: Sequence[Schedule], scratch: Scratch, seed: str = "mix"
 ) -> DataFrame:
@@ -89,26 +111,15 @@ def plan_mix(
     )
     rows = scratch.keep(rows, "sizes")
     targets = scratch.keep(source_targets(rows, weights, most), "targets")
-    ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).withColumn("range", F.spark_partition_id())
-    ranged = scratch.keep(ranged, "ranges")
-    parts = ranged.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("words_before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).select(F.col("source").alias("s"), F.col("range").alias("r"), "words_before")
-    inside = Window.partitionBy("source", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(parts, placed["source"].eqNullSafe(parts["s"]) & (placed["range"] == parts["r"])).drop("s", "r")
+    placed = words_before(rows, order, scratch)
     small = targets.withColumnRenamed("source", "s")
     placed = placed.join(small, placed["source"].eqNullSafe(small["s"])).drop("s")
-    begin = F.col("words_before") + F.col("inside")
     wanted = F.round("target").cast("long")
 
     def one_pass(k: Column) -> Column:
-        start = begin + k * F.col("source_size")
+        start = F.col("begin") + k * F.col("source_size")
         words = F.greatest(F.lit(0), F.least("size", wanted - start)).cast("long")
-        share = start / F.greatest("target", F.lit(1.0))
-        position = F.lit(None).cast("double")
-        for tier, schedule in enumerate(schedules):
-            position = F.when(F.col("source_rank") % len(schedules) == tier, training_position(share, schedule)).otherwise(position)
+        position = scheduled(start, wanted, schedules)
         return F.struct(k.cast("int").alias("pass"), words.alias("words"), position.alias("position"))
 
     passes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), one_pass), lambda p: p["words"] > 0)
@@ -143,3 +154,41 @@ def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(cut, F.char_length("head").cast("long")).otherwise(F.col("doc.n_chars"))
     return rows.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+
+
+def in_training_order(docs: DataFrame, schedules: Sequence[Schedule], scratch: Scratch, seed: str = "mix") -> DataFrame:
+    """The rows of a mix (see ``mixed_documents``) in training order, however they were stored: (doc_id, text).
+
+    Nothing but the rows is needed: rows that repeat doc_id and text are its passes; within a source passes follow each other, each in the
+    order of the hash of doc_id and ``seed``; a source's words are its target. A row whose text begins another row's
+    of its doc_id is the pass cut at the target, so it is the source's last.
+
+    The rank of a source counts the sources of the mix, so every source of the documents must have words in it.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
+        F.xxhash64("text").alias("text_hash"), F.xxhash64("doc_id", "source", "text").alias("key"),
+    )
+    sizes = rows.select("doc_id", "source", "text_hash", "key", word_count("text").alias("size"))
+    once = scratch.keep(sizes.groupBy("key").agg(*(F.first(c).alias(c) for c in sizes.columns if c != "key"), F.count("*").alias("times")), "rows")
+    # only a doc_id with several texts in a source can hold a cut pass
+    several = once.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.max("size").alias("longest")).where("n > 1").drop("n")
+    several = several.withColumnsRenamed({"source": "s", "doc_id": "d"})
+    suspects = once.join(several, once["source"].eqNullSafe(F.col("s")) & once["doc_id"].eqNullSafe(F.col("d")), "left_semi")
+    suspects = scratch.keep(rows.join(suspects.select("key"), "key", "left_semi").dropDuplicates(["key"]).select("key", "doc_id", "source", "text"), "suspects")
+    other = suspects.select(F.col("source").alias("s"), F.col("doc_id").alias("d"), F.col("text").alias("whole"))
+    begins = F.startswith(F.col("whole"), F.col("text")) & (F.char_length("whole") > F.char_length("text"))
+    cut = suspects.join(other, suspects["source"].eqNullSafe(F.col("s")) & suspects["doc_id"].eqNullSafe(F.col("d")) & begins, "left_semi")
+    cut = cut.select("key", F.lit(True).alias("cut"))
+    turn = F.md5(F.concat_ws(" ", F.lit(seed), F.col("doc_id")))
+    passes = once.join(cut, "key", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
+    passes = passes.select("key", "source", "cut", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("pass"), turn.alias("turn"), "doc_id", "text_hash", "size")
+    placed = words_before(passes, ["source", "cut", "pass", "turn", "doc_id", "text_hash"], scratch)
+    sources = once.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("wanted"))
+    sources = sources.withColumn("source_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).withColumnRenamed("source", "s")
+    placed = placed.join(sources, placed["source"].eqNullSafe(sources["s"]))
+    at = F.struct(scheduled(F.col("begin"), F.col("wanted"), schedules).alias("position"), "pass")
+    positions = placed.groupBy("key").agg(F.collect_list(at).alias("at"))
+    keys = ["at.position", "source", "doc_id", "at.pass", "key"]
+    ordered = rows.dropDuplicates(["key"]).join(positions, "key").select("doc_id", "source", "text", "key", F.explode("at").alias("at"))
+    return ordered.repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
