@@ -31,3 +31,37 @@ def test_order_of_hard_rows_keeps_all_rows(spark):
     pairs = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
     assert pairs(found) == pairs(mixed)
     assert mixing.in_training_order(mixed.limit(0), queries.SCHEDULES, Scratch(spark, "t")).count() == 0
+
+
+def spent(schedule, time):
+    """The integral of a schedule up to ``time``."""
+    total = 0.0
+    for (a, h), (b, k) in zip(schedule, schedule[1:], strict=False):
+        if time > a:
+            end = min(time, b)
+            total += (end - a) * (2 * h + (k - h) * (end - a) / (b - a)) / 2
+    return total
+
+
+def test_mixing_query_takes_its_rows_from_the_sorted_mix(spark, monkeypatch):
+    rows = ROWS[:60] + brute.HARD
+    plan = plan_of(spark, rows)
+    mix = mixing.mixed_order(plan)
+    held = [[(p, r["position"]) for r in part] for p, part in enumerate(mix.rdd.glom().collect())]
+    flat = [x[1] for part in held for x in part]
+    assert flat == sorted(flat) and len([p for p in held if p]) > 1
+    found, planned = mixing.documents_of_mix(plan, mix).collect(), plan.collect()
+    key = lambda r: repr((r["doc_id"], r["source"], r["text_hash"], r["size"], r["taken"]))
+    assert sorted(map(key, found)) == sorted(map(key, planned))
+    # the schedule's integral at a document's positions is the words of its source before each pass
+    order = sorted({r["source"] for r in planned if r["source"] is not None}) + [None]
+    for r in planned:
+        schedule, wanted = queries.SCHEDULES[order.index(r["source"]) % 3], int(r["target"] + 0.5)
+        earlier = sum(x["size"] for x in planned if x["source"] == r["source"] and x["begin"] < r["begin"])
+        for p in r["passes"]:
+            assert r["begin"] == earlier
+            assert abs(spent(schedule, p["position"]) / spent(schedule, 1.0) - (earlier + p["pass"] * r["source_size"]) / wanted) < 1e-9
+    seen = []
+    monkeypatch.setattr(mixing, "mixed_order", lambda plan, made=mixing.mixed_order: seen.append(1) or made(plan))
+    queries.op4_mixing(spark, FOLDER)
+    assert seen

@@ -98,9 +98,9 @@ def scheduled(start: Column, wanted: Column, schedules: Sequence[Schedule]) -> C
 def plan_mix(
     docs: DataFrame, weights: Sequence[int], most: int, schedules: Sequence[Schedule], scratch: Scratch, seed: str = "mix"
 ) -> DataFrame:
-    """A row for each document: doc_id, source, text_hash, size, source_size, target, taken and passes.
+    """A row for each document: doc_id, source, text_hash, size, source_size, target, begin, taken and passes.
 
-    ``passes`` lists what each pass takes: (pass, words, position). Within a source documents are ordered by a hash of doc_id
+    ``begin`` is the words of the source before the document, ``passes`` lists what each pass takes: (pass, words, position). Within a source documents are ordered by a hash of doc_id
     and ``seed``. Running totals are taken in ranges of (source, hash), so one source may hold any part of the rows.
     """
     order = ["source", "turn", "doc_id", "text_hash"]
@@ -124,17 +124,28 @@ def plan_mix(
 
     passes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), one_pass), lambda p: p["words"] > 0)
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda total, p: total + p["words"])
-    return placed.withColumn("passes", passes).select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.alias("taken"), "passes")
+    return placed.withColumn("passes", passes).select("doc_id", "source", "text_hash", "size", "source_size", "target", "begin", taken.alias("taken"), "passes")
 
 
 def mixed_order(plan: DataFrame) -> DataFrame:
     """The mix: a row for each document and pass, sorted by training position in ranges."""
-    one = plan.select("doc_id", "source", "text_hash", "size", F.explode("passes").alias("p"))
-    one = one.select("doc_id", "source", "text_hash", "size", "p.pass", "p.words", "p.position")
+    document = ["doc_id", "source", "text_hash", "size", "source_size", "target", "begin"]
+    one = plan.select(*document, F.explode("passes").alias("p")).select(*document, "p.pass", "p.words", "p.position")
     keys = ["position", "source", "doc_id", "text_hash", "pass"]
     return one.repartitionByRange(partitions(plan.sparkSession), *keys).sortWithinPartitions(*keys)
 
 
+def documents_of_mix(plan: DataFrame, mix: DataFrame) -> DataFrame:
+    """A row for each document of ``plan``, from its passes in ``mix``: doc_id, source, text_hash, size, source_size, target, taken, positions.
+
+    ``positions`` lists the training positions of its passes. Documents without a pass in the plan have none.
+    """
+    document = ["doc_id", "source", "text_hash", "size", "source_size", "target", "begin"]
+    taken = mix.groupBy(*document).agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list("position")).alias("positions"))
+    none = plan.where(F.size("passes") == 0).select(*document, F.lit(0).cast("long").alias("taken"), F.array().cast("array<double>").alias("positions"))
+    return taken.union(none).drop("begin")
+
+
 def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows of ``docs`` in training order: one for each pass that takes words.
 

@@ -47,8 +47,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_mix(table(spark, sf_dir, "documents"), WEIGHTS, MOST_REPEATS, SCHEDULES, Scratch(spark, "mix"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    scratch = Scratch(spark, "mix")
+    plan = scratch.keep(mixing.plan_mix(table(spark, sf_dir, "documents"), WEIGHTS, MOST_REPEATS, SCHEDULES, scratch), "plan")
+    mix = scratch.keep(mixing.mixed_order(plan), "mix")
+    return mixing.documents_of_mix(plan, mix).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +140,8 @@ best AS (
          count(DISTINCT line) AS matched FROM hit GROUP BY doc_id),
 own AS (
   SELECT d.doc_id, concat_ws('/', source, lang, d.doc_id) AS path, license, similarity, matched,
-         len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]'))) AS worded
+         len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]'))) AS worded
   FROM documents d LEFT JOIN best USING (doc_id)),
 placed AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS directory, regexp_extract(path, '[^/]*$') AS base FROM own),
 covering AS (
