@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chat, exact_dedup, licenses, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
+from tokenloom.llm import chat, exact_dedup, fill_middle, licenses, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
 from tokenloom.llm.common import Scratch, partitions, table
 
 END_OF_DOCUMENT, END_OF_PACKED = 1, 2
@@ -22,6 +22,7 @@ URL_RULES = (
     ("net", "/fr/", "block"),
 )
 POLICY = "v2"
+FIM_SEED, SPM_PERCENT, FIM_PERCENT = 7, 50, 100
 
 
 def word_tokenizer_file() -> str:
@@ -99,10 +100,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return fill_middle.fill_in_middle(docs, FIM_SEED, SPM_PERCENT, FIM_PERCENT).select(
+        "doc.doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op7_licenses, op8_quality, op9_url_filter, op10_packing,
+        op11_fill_middle,
     )
 }
 
@@ -239,6 +249,23 @@ SELECT doc_id, size, source_size, target,
   (greatest(0, least(size, wanted - start)) + greatest(0, least(size, wanted - start - source_size))
    + greatest(0, least(size, wanted - start - 2 * source_size)))::BIGINT AS taken
 FROM o
+""",
+    "op11_fill_middle": rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('{FIM_SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents),
+r AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS b,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= {FIM_PERCENT} AS plain,
+         ('0x' || h[25:32])::BIGINT % 100 < {SPM_PERCENT} AS spm FROM d),
+p AS (
+  SELECT *, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(units[greatest(a, b) + 1:], '') AS suffix FROM r)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+  sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+         ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
 """,
     "op8_quality": rf"""
 WITH d AS (
