@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chat, exact_dedup, fill_middle, licenses, mixing, packing, quality, simhash, suffix_dedup, token_files, url_filter
+from tokenloom.llm import chat, exact_dedup, fill_middle, licenses, mixing, packing, quality, secret_ledger, simhash, suffix_dedup, token_files, url_filter
 from tokenloom.llm.common import Scratch, partitions, table
 
 END_OF_DOCUMENT, END_OF_PACKED = 1, 2
@@ -108,11 +108,24 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "secrets")
+    # documents have no file names: the path of a document is its source, language and id, and its table row the only version
+    versions = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
+    )
+    found = secret_ledger.scan_history(versions, secret_ledger.Ledger(spark, scratch.path("ledger")), scratch)
+    base = [r.kind for r in secret_ledger.BASE_RULES]
+    counts = [secret_ledger.count_of("findings", kind).alias(f"n_{kind}") for kind in base]
+    digest = F.sha2(secret_ledger.listed("findings", base), 256)
+    return found.select("doc.doc_id", *counts, digest.alias("base_sha256"), secret_ledger.listed("findings").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op7_licenses, op8_quality, op9_url_filter, op10_packing,
-        op11_fill_middle,
+        op11_fill_middle, op12_secret_ledger,
     )
 }
 
@@ -171,10 +184,33 @@ FROM placed LEFT JOIN nearest USING (directory)
 """
 
 
+def _secrets_sql() -> str:
+    def hits(rank: int, rule: secret_ledger.Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        return f"""SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, unnest(range(len(hits))) AS k, unnest(hits) AS hit,
+    unnest(counted) AS counted, unnest(gaps[1:len(hits)]) AS gap
+  FROM (SELECT doc_id, regexp_extract_all(text, {pattern}, 0) AS hits, regexp_extract_all(text, {pattern}, {rule.group}) AS counted,
+               string_split_regex(text, {pattern}) AS gaps FROM d)"""
+
+    every = "\n  UNION ALL ".join(hits(k, r) for k, r in enumerate(secret_ledger.RULES))
+    base = ", ".join(f"'{r.kind}'" for r in secret_ledger.BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_ledger.BASE_RULES)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({every}),
+w AS (SELECT *, (sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, rank ORDER BY k))::BIGINT AS until FROM m),
+s AS (SELECT doc_id, rank, kind, until - length(hit) AS start, kind || ':' || (until - length(hit)) || ':' || until AS span FROM w WHERE length(counted) >= least)
+SELECT doc_id, {counts}, sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (kind IN ({base})), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
     "op7_licenses": _licences_sql(),
+    "op12_secret_ledger": _secrets_sql(),
     "op5_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
