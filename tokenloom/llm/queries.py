@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chat, exact_dedup, fill_middle, licenses, mixing, packing, quality, secret_ledger, simhash, suffix_dedup, token_files, url_filter
+from tokenloom.llm import chat, exact_dedup, fill_middle, filter_audit, licenses, mixing, packing, quality, secret_ledger, simhash, suffix_dedup, token_files, url_filter
 from tokenloom.llm.common import Scratch, partitions, table
 
 END_OF_DOCUMENT, END_OF_PACKED = 1, 2
@@ -121,11 +121,16 @@ def op12_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", *counts, digest.alias("base_sha256"), secret_ledger.listed("findings").alias("spans"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return filter_audit.interactions(filter_audit.follow_files(spark, f"{sf_dir}/documents.parquet", labels, Scratch(spark, "audit")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_files, op2_simhash, op3_suffix_dedup, op4_mixing, op5_exact_dedup, op6_chat, op7_licenses, op8_quality, op9_url_filter, op10_packing,
-        op11_fill_middle, op12_secret_ledger,
+        op11_fill_middle, op12_secret_ledger, op13_filter_audit,
     )
 }
 
@@ -302,6 +307,32 @@ SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' EN
   sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
          ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
 FROM p
+""",
+    "op13_filter_audit": rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS words, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS again FROM d),
+f AS (
+  SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * again::INT AS mask FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (bad) AS n_bad FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM x a, x b, x c, x d, x e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step, bits[step] AS own, list_sum([0] || bits[1:step - 1])::INT AS earlier FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (
+  SELECT part, filter_order, step, own, (coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0))::BIGINT AS kept,
+    (coalesce(sum(n) FILTER (mask & own <> 0 AND mask & earlier = 0), 0))::BIGINT AS removed,
+    (coalesce(sum(n) FILTER (mask & own <> 0 AND mask & earlier <> 0), 0))::BIGINT AS redundant,
+    (coalesce(sum(n) FILTER (mask = own), 0))::BIGINT AS unique_fails,
+    (coalesce(sum(n_good) FILTER (mask & own <> 0 AND mask & earlier = 0), 0))::BIGINT AS good_lost,
+    (coalesce(sum(n_bad) FILTER (mask & own <> 0 AND mask & earlier = 0), 0))::BIGINT AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
 """,
     "op8_quality": rf"""
 WITH d AS (
