@@ -60,6 +60,20 @@ def chosen_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["doc_id", "text_hash"]).select("doc.*")
 
 
+def join_split(rows: DataFrame, found: DataFrame, key: list[str], sizes: DataFrame, n: int) -> DataFrame:
+    """``rows`` left joined to ``found``, which has a row at most for each key. ``sizes`` has each key's number of rows (copies).
+
+    A key with more rows than half a task's share is dealt out over several parts and its row in ``found`` copied to them. There are at most
+    2 n such keys, so their list may be broadcast. ``rows`` are read from files, so a repeated task deals them as before.
+    """
+    share = max(1, -(-(sizes.agg(F.sum("copies")).first()[0] or 0) // (2 * n)))
+    hot = F.broadcast(sizes.where(F.col("copies") > share).select(*key, F.ceil(F.col("copies") / share).cast("int").alias("parts")))
+    dealt = rows.join(hot, key, "left").withColumn("part_of_key", F.coalesce((F.rand(7) * F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    every = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    copied = found.join(hot, key, "left").withColumn("part_of_key", F.explode(every)).drop("parts")
+    return dealt.join(copied, [*key, "part_of_key"], "left").drop("part_of_key")
+
+
 def words(text) -> F.Column:
     """The words of a text as an array; null gives none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), lambda w: w != "")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import Scratch, bind, partitions
+from tokenloom.llm.common import Scratch, bind, join_split, partitions
 
 LEDGER_SCHEMA = "blob binary, rule string, version int, spans array<struct<start: int, end: int>>"
 #: Up to so many new blobs (32 bytes each) the versions are cut to them by a broadcast before texts move.
@@ -157,18 +157,13 @@ def scan_history(versions: DataFrame, ledger: Ledger, scratch: Scratch, rules: S
 
 
 def _to_paths(rows: DataFrame, blobs: DataFrame, ledger: DataFrame, rules: Sequence[Rule], n: int) -> DataFrame:
-    """Findings joined to all rows with the blob. A blob with more rows than half a task's share is dealt out over several
-    keys; there are at most 2 n such blobs, so their list may be broadcast."""
+    """Findings joined to all rows with the blob."""
     kinds = F.create_map(*(x for k, r in enumerate(rules) for x in (F.concat_ws(":", F.lit(r.kind), F.lit(r.version)), F.lit(k))))
     asked = ledger.where(F.size("spans") > 0).select("blob", kinds[F.concat_ws(":", "rule", "version")].alias("rank"), "rule", F.explode("spans").alias("span"))
     finding = F.struct(F.col("span.start").alias("start"), "rank", F.col("rule").alias("kind"), F.col("span.end").alias("end"))
     found = asked.where("rank IS NOT NULL").groupBy("blob").agg(F.sort_array(F.collect_set(finding)).alias("findings"))
-    share = max(1, -(-(blobs.agg(F.sum("copies")).first()[0] or 0) // (2 * n)))
-    hot = F.broadcast(blobs.where(F.col("copies") > share).select("blob", F.ceil(F.col("copies") / share).cast("int").alias("parts")))
-    dealt = rows.join(hot, "blob", "left").withColumn("part", F.coalesce((F.rand(7) * F.col("parts")).cast("int"), F.lit(0))).drop("parts")
-    copied = found.join(hot, "blob", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
     none = F.array().cast("array<struct<start: int, rank: int, kind: string, end: int>>")
-    return dealt.join(copied, ["blob", "part"], "left").select("doc", "blob", F.coalesce("findings", none).alias("findings"))
+    return join_split(rows, found, ["blob"], blobs, n).select("doc", "blob", F.coalesce("findings", none).alias("findings"))
 
 
 def listed(findings: Column | str, kinds: Sequence[str] | None = None) -> Column:
