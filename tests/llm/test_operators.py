@@ -1,6 +1,7 @@
 """Operators against plain versions, on hard rows and on small tables."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -39,6 +40,24 @@ def test_cached_ids_equal_those_of_whole_texts(tokenizer, documents):
     assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_cached_ids_of_random_texts(tokenizer):
+    """Letters of many scripts, capitals that lower-case to several characters, marks, signs and digits, mixed at random."""
+    draw = random.Random(11)
+    some = list("aZéÉßẞİıŞΑΣςÅK\u212b\u0345\u0301\u0307Ǆǅǆᾈﬁ漢字가각ก\u0e33अ\u093f\u0915א\u05b0ب٣४१Ⅷⅷ𝐀𐐀🅰️ʰªº\u00ad\u200d_-'’s,..,!?12 \n\t\x1c\x85\u00a0\u2028")
+    texts = ["İ.", "İ,", "aİ. İİ, x", "\u212b, K. ẞ. ß."] + ["".join(draw.choices(some, k=draw.randint(1, 12))) + draw.choice([".", ",", "", " "]) for _ in range(20_000)]
+    tool = WordTokenizer(queries.word_tokenizer_file(), limit=5000)
+    found = [ids[e - s : e].tolist() for n, ids, sizes in tool.encode_all(iter(texts), chars=9000) for s, e in zip(sizes, np.cumsum(sizes), strict=True)]
+    wrong = [(t, f, e.ids) for t, f, e in zip(texts, found, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True) if f != e.ids]
+    assert not wrong, wrong[:3]
+
+
+def test_other_kinds_of_tokenizers_are_refused(tmp_path):
+    path = tmp_path / "other.json"
+    path.write_text('{"normalizer": null, "pre_tokenizer": {"type": "ByteLevel"}, "model": {}}')
+    with pytest.raises(ValueError, match="not a lower-casing"):
+        WordTokenizer(str(path))
+
+
 @pytest.mark.parametrize("rows", [HARD, []])
 def test_token_files_hold_all_documents_in_order(spark, tmp_path, tokenizer, rows):
     path = str(tmp_path / "t")
@@ -108,6 +127,27 @@ def test_repeats_equal_a_scan_of_all_strings(spark, monkeypatch, documents, rows
     assert all(hashlib.sha256(r["kept_text"]).hexdigest() == r["kept_sha256"] for r in found)
 
 
+@pytest.mark.parametrize("shift", [-2000, -40, -17, -1, 0, 30])
+def test_repeats_in_documents_beyond_a_mebibyte(spark, shift):
+    """Passages of barely over the span with a period, around a byte where places of 20 bits begin anew."""
+    draw = random.Random(shift)
+    letters = lambda n: "".join(draw.choices("abcdefghijklmnop", k=n))
+    unit, tail = letters(17), letters(3_000)
+    passage = (unit * 4)[:52]
+    rows = [(1, letters(500) + passage + letters(500), "en", "s", 1), (2, letters((1 << 20) + shift) + passage + tail, "en", "s", 1), (3, letters(700), "en", "s", 1)]
+    found = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert found == {1: (0, 0), 2: (52, 1), 3: (0, 0)}
+
+
+@pytest.mark.parametrize("size", [10, 4095, 4096, 9000])
+def test_least_places_are_the_leftmost(monkeypatch, size):
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 1000)
+    gram = np.random.default_rng(size).integers(0, 5, size).astype(np.uint64)
+    order = suffix_dedup.mixed(gram) >> np.uint64(20)
+    want = [k + int(np.argmin(order[k : k + 35])) for k in range(size - 34)]
+    assert suffix_dedup.least_places(gram).tolist() == want
+
+
 @pytest.mark.parametrize("edges", [[], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)] + [(50, 51), (51, 50), (7, 7), (None, 3)]])
 def test_components(spark, edges):
     found = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5), Scratch(spark, "t"))
@@ -249,6 +289,15 @@ def test_licences_equal_the_plain_cosine(spark, documents):
     assert {r["file"]: (r["license"], round(r["similarity"], 5)) for r in found if r["license"]} == {k: (n, round(s, 5)) for k, (n, s) in want.items()}
 
 
+def test_licences_of_null_and_repeated_ids(spark, tmp_path):
+    rows = [*HARD, (None, "Released under the MIT License.", "en", "a", 1), (3, "Licensed under CC BY 4.0.", "en", "b", 1), (3, "plain words only here", "en", "c", 1), (None, "none", "fr", "d", 1)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op7_licenses(spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in found) == Counter(r[0] for r in rows)
+    got = {(r["doc_id"], r["path"]): r["license"] for r in found}
+    assert [got[k] for k in ((None, "a/en"), (3, "b/en/3"), (3, "c/en/3"), (None, "d/fr"))] == ["MIT", "CC-BY-4.0", None, None]
+
+
 def test_licences_are_inherited_from_the_nearest_directory(spark):
     files = [
         (1, "a/LICENSE", "Released under the MIT License.\nsome words"), (2, "a/b/c/x.py", "code"), (3, "a/b/COPYING.txt", "Licensed under CC BY 4.0."),

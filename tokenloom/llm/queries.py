@@ -73,11 +73,14 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # documents have no file names: a document lies in the directory of its source and language
+    # documents have no file names: a document lies in the directory of its source and language. A row is known by its
+    # place in the files of the table, so null and repeated doc_ids stay apart
+    row = F.struct(F.xxhash64("_metadata.file_path").alias("table_file"), F.col("_metadata.row_index").alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"))
     files = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("file"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
+        row.alias("file"), F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text"
     )
-    return licenses.scan_licences(files, Scratch(spark, "licenses")).withColumnRenamed("file", "doc_id")
+    found = licenses.scan_licences(files, Scratch(spark, "licenses"))
+    return found.select(F.nullif("file.id", F.lit("")).cast("long").alias("doc_id"), *(c for c in found.columns if c != "file"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,8 @@ GRAM = 16
 PART_BYTES = 16 << 20
 CHUNK = 1 << 18
 FLUSH = 1 << 19
+#: Places that are compared at once; with a window they stay below 2^20.
+STRETCH = 1 << 19
 
 _WINDOW = SPAN - GRAM + 1
 _SIDE = (SPAN - GRAM) // 2
@@ -93,6 +95,19 @@ class Grams:
         return (mixed(_join(self.gram[at], self.one[at + GRAM], 7)) % np.uint64(4095) + np.uint64(1)).astype(np.uint32)
 
 
+def least_places(gram: np.ndarray) -> np.ndarray:
+    """For each place of all but the last 34 the leftmost least gram of the 35 that begin there, in stretches whose places fit the low bits."""
+    found = np.empty(max(0, len(gram) - _WINDOW + 1), np.int64)
+    for lo in range(0, len(found), STRETCH):
+        count = min(STRETCH, len(found) - lo)
+        least = mixed(gram[lo : lo + count + _WINDOW - 1]) & ~_LOW | np.arange(count + _WINDOW - 1, dtype=np.uint64)
+        for step in (1, 2, 4, 8, 16):
+            least = np.minimum(least[:-step], least[step:])
+        least = np.minimum(least[: 32 - _WINDOW], least[_WINDOW - 32 :])
+        found[lo : lo + count] = lo + (least & _LOW).astype(np.int64)
+    return found
+
+
 def sample_runs(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of strings that share a sampled suffix, in documents that end at ``ends``.
 
@@ -104,20 +119,14 @@ def sample_runs(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     if n < SPAN:
         return none
     grams = Grams(raw)
-    place = np.arange(n, dtype=np.uint64)
-    least = (mixed(grams.gram[:n]) & ~_LOW) | (place & _LOW)
-    for step in (1, 2, 4, 8, 16):
-        least = np.minimum(least[:-step], least[step:])
-    least = np.minimum(least[: 32 - _WINDOW], least[_WINDOW - 32 :])
-    least = least[: n - SPAN + 1]
+    samples = least_places(grams.gram[:n])[: n - SPAN + 1]
     begins = np.r_[0, ends[:-1]]
     whole = ends - begins >= SPAN
     counts = (ends - begins - SPAN + 1)[whole]
     if not len(counts):
         return none
     valid = np.repeat(begins[whole] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
-    start = valid.astype(np.uint64)
-    sample = (start + (((least[valid] & _LOW) - start) & _LOW)).astype(np.int64)
+    sample = samples[valid]
     head = np.flatnonzero(np.r_[True, (valid[1:] != valid[:-1] + 1) | (sample[1:] != sample[:-1])])
     first, last = valid[head], valid[np.r_[head[1:], len(valid)] - 1]
     gram = sample[head]

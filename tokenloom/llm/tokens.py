@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,20 @@ def _lowered(text: str) -> str:
     return text.lower()
 
 
+def _letters(word: str) -> bool:
+    """Letters only, also as the tokenizer sees them: some capitals become a letter and a mark, which joins a sign behind it."""
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
+def _check_kind(path: str) -> None:
+    """Refuses a file whose tokenizer isn't of the kind that may be cut at white space."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    steps = lambda part, key: [p["type"] for p in (made[part] or {}).get(key, [])]
+    if steps("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or steps("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"]:
+        raise ValueError(f"{path}: not a lower-casing word tokenizer that drops white space")
+
+
 class WordTokenizer:
     """Ids of a lower-casing word BPE tokenizer, as ``tokenizers`` gives them for whole texts.
 
@@ -44,6 +60,7 @@ class WordTokenizer:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        _check_kind(path)
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self._reset()
 
@@ -70,7 +87,7 @@ class WordTokenizer:
             found.append(None)
             if piece.isascii() and piece.isalpha() and piece.islower():
                 found[k] = [t.id for t in model.tokenize(piece)]
-            elif piece[-1] in ",." and piece[:-1].isalpha():
+            elif piece[-1] in ",." and _letters(piece[:-1]):
                 joined.append((k, codes[piece[:-1]], codes[piece[-1]]))
             else:
                 slow.append(k)
