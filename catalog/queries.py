@@ -28,6 +28,7 @@ from tokenloom.operators.tokenize import (
     tokenize_values,
 )
 from tokenloom.plans import assemble, edges, outputs, verify
+from tokenloom.settings import Workspace
 from tokenloom.sources.changes import change_image
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
 from tokenloom.sources.tables import typed_view
@@ -247,7 +248,7 @@ CHANGED_USERS = "SELECT row_id AS user_id FROM src_changes WHERE source_table =
 add(
     "j08_lookup_join",
     lambda c: lookups.join_adjust(
-        rebuild.for_users(c.src, triggers.user_keys(c.changes, c.src))["user"].select("id", "app_code", "adid"), c.src["adjust_callback_record"], ["network_name", "tracker_name"]
+        rebuild.for_users(c.src, triggers.user_keys(c.changes, c.src), Workspace(c.spark).keep)["user"].select("id", "app_code", "adid"), c.src["adjust_callback_record"], ["network_name", "tracker_name"]
     ),
     f"SELECT s.id, s.app_code, s.adid, s.network_name, s.tracker_name FROM st_user s JOIN ({CHANGED_USERS}) k ON k.user_id = s.id",
 )
