@@ -396,7 +396,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(partitions(docs.sparkSession), -(-total // PART_BYTES))
-    part = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(count)).cast("int")
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), "text"), F.lit(count)).cast("int")  # rows of one doc_id, or of none, are spread
     dealt = docs.select(part.alias("part"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = dealt.repartition(count, "part").sortWithinPartitions("part", "doc_id", "text")
 
