@@ -31,8 +31,11 @@ from tokenloom.plans import assemble, edges, outputs, verify
 from tokenloom.settings import Workspace
 from tokenloom.sources.changes import change_image
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
-from tokenloom.sources.tables import typed_view
+from tokenloom.sources.schemas import TARGET_KEYS
+from tokenloom.sources.sinks import KeyedTable
+from tokenloom.sources.tables import Sources, typed_view
 from tokenloom.streaming import debounce as deb, enqueue, rebuild, triggers
+from tokenloom.streaming.links import LinkJob, load_links
 
 ZONE = "Africa/Lagos"
 KIND = codes.VT_TYPES
@@ -659,6 +662,30 @@ add(
 )
 add("q7_id_mapping", lambda c: outputs.id_mapping_output(c.src), o.KEYED_EDGES)
 
+
+def _earlier(c: Context) -> Sources:
+    """The tables before the changes of ``order_changes``: of the changed orders every other one was not there and the rest were a month
+    younger, and the changed cards had the account of another pair of users."""
+    changed = F.col("disburse_time").isNotNull() & F.col("settled_time").isNull()
+    orders = c.src["user_order"].filter(~(changed & (F.col("id") % 2 == 0)))
+    orders = orders.withColumn("order_time", F.when(changed, F.col("order_time") + F.expr("INTERVAL 30 DAYS")).otherwise(F.col("order_time")))
+    account = F.concat(F.lit(" "), (1_000_000_000 + F.col("user_id") - F.col("user_id") % 2 + 2).cast("string"))
+    moved = (F.col("deleted") == 0) & (F.col("is_default") == 0)
+    cards = c.src["user_bank_info"].withColumn("bank_account", F.when(moved, account).otherwise(F.col("bank_account")))
+    return c.src.using(user_order=orders, user_bank_info=cards)
+
+
+def _followed_links(c: Context) -> DataFrame:
+    folder = Workspace(c.spark).folder
+    links = KeyedTable(c.spark, f"{folder}/links", edges.LINK_KEY)
+    target = KeyedTable(c.spark, f"{folder}/id_mapping", TARGET_KEYS["id_mapping"])
+    load_links(_earlier(c), links, target)
+    LinkJob(lambda: c.src, target, links).run_batch(order_changes(c), 1)
+    return target.read()
+
+
+add("q7_id_mapping_incremental", _followed_links, o.KEYED_EDGES)
+
 # --- checks --------------------------------------------------------------------------------------
 def folded(x: str) -> str:
     return f"lower(trim(coalesce({x}, '')))"

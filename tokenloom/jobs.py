@@ -22,6 +22,7 @@ from tokenloom.operators.tokenize import (
 )
 from tokenloom.plans import outputs, verify
 from tokenloom.plans.assemble import assemble_application, assemble_bankcard, assemble_user, assemble_user_info
+from tokenloom.plans.edges import LINK_KEY
 from tokenloom.settings import Workspace, checkpointed, tune
 from tokenloom.sources.changes import scan_changes
 from tokenloom.sources.schemas import SOURCE_SCHEMAS, TARGET_KEYS
@@ -29,6 +30,7 @@ from tokenloom.sources.sinks import KeyedTable, materialize, write_detail
 from tokenloom.sources.tables import Sources, parquet_sources, typed_view
 from tokenloom.streaming.handoff import record_start, start_position
 from tokenloom.streaming.enqueue import WAIT_SECONDS
+from tokenloom.streaming.links import LINK_TABLES, LinkJob, load_links
 from tokenloom.streaming.rebuild import ProfileJob, RebuildJob, start
 from tokenloom.streaming.triggers import TRIGGER_TABLES
 
@@ -48,7 +50,7 @@ def bulk(spark: SparkSession, sources: Sources, target: str, tokenizer: Tokenize
         elif name == "loan":
             table.upsert(outputs.loan_output(sources), 0)
         elif name == "id_mapping":
-            table.upsert(outputs.id_mapping_output(sources), 0)
+            load_links(sources, link_table(spark, target, table), table)
         else:
             for batch_id, phase in enumerate(("hit", "miss")):
                 ids = _id_start(before, table, batch_id) if name == "user_bankcard" else start_ms
@@ -58,6 +60,11 @@ def bulk(spark: SparkSession, sources: Sources, target: str, tokenizer: Tokenize
     return start_ms
 
 
+def link_table(spark: SparkSession, target: str, table: KeyedTable) -> KeyedTable:
+    """What the edges of a version of ``table`` rest on."""
+    return KeyedTable(spark, f"{target}/_links", LINK_KEY, first_batch=table.first_batch, version=table.version)
+
+
 def _id_start(before: KeyedTable, table: KeyedTable, batch_id: int) -> int:
     """Ids of a new version come after those of the one before, and those of the second phase after the first's."""
     return max(before.id_start_ms(1 << 30), table.id_start_ms(batch_id))
@@ -100,12 +107,14 @@ def follow(spark: SparkSession, sources_now, changes: str, target: str, name: st
     Batch numbers of the stream come after those of the bulk load, which are 0 and 1.
     """
     mode, start_ms = start_position(spark, f"{target}/_start/{name}")
-    tables = list(WAIT_SECONDS) if name == "user_info" else TRIGGER_TABLES[name]
+    tables = {"user_info": list(WAIT_SECONDS), "id_mapping": LINK_TABLES}.get(name) or TRIGGER_TABLES[name]
     stream = scan_changes(spark, changes, tables, mode, start_ms)
     table = KeyedTable(spark, f"{target}/{name}", TARGET_KEYS[name], first_batch=BULK_BATCHES)
     if name == "user_info":
         queue = KeyedTable(spark, f"{target}/_queue", ["user_id"], version=table.version)
         job = ProfileJob(sources_now, table, queue, tokenizer)
+    elif name == "id_mapping":
+        job = LinkJob(sources_now, table, link_table(spark, target, table))
     else:
         job = RebuildJob(name, sources_now, table, tokenizer)
     # the checkpoint belongs to the table it feeds: another target or a new bulk load begins anew
@@ -147,7 +156,7 @@ def main() -> None:
     parser.add_argument("--source", required=True, help="folder with one parquet table per source table")
     parser.add_argument("--target", required=True)
     parser.add_argument("--changes", help="folder of change files (incr)")
-    parser.add_argument("--output", choices=OUTPUTS[:-1], help="output to follow (incr)")
+    parser.add_argument("--output", choices=OUTPUTS, help="output to follow (incr)")
     parser.add_argument("--interval", default="5 seconds")
     parser.add_argument("--tokenizer", default="tokenloom.operators.tokenize:HashTokenizer", help="module:Class, made without arguments")
     args = parser.parse_args()

@@ -43,27 +43,42 @@ def _pair(a_kind: str, a: Column, b_kind: str, b: Column) -> Column:
     )
 
 
-def _pairs(df: DataFrame, app: Column, time: Column, n: Column, *pairs: Column) -> DataFrame:
+def _pairs(df: DataFrame, owner: Column, app: Column, time: Column, n: Column, *pairs: Column) -> DataFrame:
     """Linked identifiers of every row; those missing a side or linking a value to itself drop."""
-    rows = df.select(app.cast("int").alias("app_id"), time.alias("t"), n.alias("n"), F.explode(F.array(*pairs)).alias("p"))
-    return rows.select("app_id", "t", "n", "p.*").filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    rows = df.select(owner.alias("owner"), app.cast("int").alias("app_id"), time.alias("t"), n.alias("n"), F.explode(F.array(*pairs)).alias("p"))
+    return rows.select("owner", "app_id", "t", "n", "p.*").filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+
+
+def user_owner(user_id: Column) -> Column:
+    """The name under which a user's own statements are kept."""
+    return F.concat(F.lit("user:"), user_id.cast("string"))
+
+
+def device_owner(device_uuid: Column) -> Column:
+    return F.concat(F.lit("device:"), device_uuid)
+
+
+def _reduced(df: DataFrame, keys: list[str], time: str, every_time: bool) -> DataFrame:
+    count = F.count(F.lit(1)).alias("n")
+    if every_time:
+        return df.groupBy(*keys, F.col(time).alias("at")).agg(count)
+    return df.groupBy(*keys).agg(F.max(time).alias("at"), count)
 
 
 def linked_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False) -> DataFrame:
-    """Undirected pairs (a, b, app_id, t) with ``n``, the number of source rows that state them.
+    """Undirected pairs (owner, a, b, app_id, t) with ``n``, the number of source rows that state them.
 
     With ``every_time`` orders and devices keep each of their times, else only the latest, which is
     all the keyed output needs.
     """
-    one, dictionary = F.lit(1).cast("bigint"), sources["vt_token_cache"]
+    return user_pairs(sources, settings, every_time).unionByName(device_pairs(sources, settings, every_time))
 
-    def reduced(df: DataFrame, keys: list[str], time: str) -> DataFrame:
-        if every_time:
-            return df.groupBy(*keys, F.col(time).alias("at")).agg(F.count(one).alias("n"))
-        return df.groupBy(*keys).agg(F.max(time).alias("at"), F.count(one).alias("n"))
 
+def user_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False) -> DataFrame:
+    """What the users state with their orders, registrations and cards."""
+    one, dictionary = F.lit(1).cast("bigint"), sources["vt_token_cache"]
     stated = ["user_id", "app_code", "at", "n", "source", "card_token"]
-    orders = reduced(sources["user_order"].filter(has_order_no()), ["user_id", "app_code"], "order_time")
+    orders = _reduced(sources["user_order"].filter(has_order_no()), ["user_id", "app_code"], "order_time", every_time)
     orders = orders.withColumns({"source": F.lit("order"), "card_token": F.lit(None).cast("string")})
     people = sources["user"].select(F.col("id").alias("user_id"), "app_code", "create_time", "update_time")
     users = people.withColumns(
@@ -88,28 +103,30 @@ def linked_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False
         "id_number": "id_number_token",
         "device_uuid": "device_uuid",
     }
-    from_users = _pairs(
+    return _pairs(
         statements.join(identity, "user_id", "inner"),
-        F.col("app_code"), epoch_ms("at", settings.zone), F.col("n"),
+        user_owner(F.col("user_id")), F.col("app_code"), epoch_ms("at", settings.zone), F.col("n"),
         *[_pair(x, of("order", held[x]), y, F.col(held[y])) for x, y in APPLICATION_LINKS],
         _pair("mobile", of("user", "mobile_token"), "device_uuid", F.col("device_uuid")),
         _pair("mobile", of("user", "mobile_token"), "id_number", F.col("latest_id_token")),
         _pair("mobile", of("card", "mobile_token"), "bank_account", F.col("card_token")),
     )
 
+
+def device_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False) -> DataFrame:
+    """What devices state: their advertising ids, in the apps of the users who hold them."""
     devices = sources["device_ids"].filter(has_text("device_uuid")).select(
         "device_uuid", first_text("aaid", "idfa").alias("ad_id"), F.coalesce("update_time", "create_time").alias("seen")
     )
-    devices = reduced(devices.filter("ad_id IS NOT NULL"), ["device_uuid", "ad_id"], "seen").withColumnRenamed("n", "devices")
-    devices = join_token(devices, dictionary, VT_TYPES["gaid_idfa"], "ad_id", "ad_token", "device_uuid")
+    devices = _reduced(devices.filter("ad_id IS NOT NULL"), ["device_uuid", "ad_id"], "seen", every_time).withColumnRenamed("n", "devices")
+    devices = join_token(devices, sources["vt_token_cache"], VT_TYPES["gaid_idfa"], "ad_id", "ad_token", "device_uuid")
     owners = sources["user"].filter(has_text("device_id")).groupBy(F.col("device_id").alias("device_uuid"), "app_code")
-    owners = owners.agg(F.count(one).alias("users"))
-    from_devices = _pairs(
+    owners = owners.agg(F.count(F.lit(1)).alias("users"))
+    return _pairs(
         devices.filter(has_text("ad_token")).join(owners, "device_uuid", "inner"),
-        F.col("app_code"), epoch_ms("at", settings.zone), F.col("devices") * F.col("users"),
+        device_owner(F.col("device_uuid")), F.col("app_code"), epoch_ms("at", settings.zone), F.col("devices") * F.col("users"),
         _pair("device_uuid", F.col("device_uuid"), "gaid_idfa", F.col("ad_token")),
     )
-    return reduce(DataFrame.unionByName, [from_users, from_devices])
 
 
 def _type(rank: Column) -> Column:
@@ -133,29 +150,41 @@ def edge_rows(sources, settings: Settings = DEFAULT) -> DataFrame:
     return counted.select("id", "app_id", "mapping_id", _type(F.col("rank")).alias("type"), F.col("t").alias("event_time"), "n")
 
 
-def keyed_edges(sources, settings: Settings = DEFAULT) -> DataFrame:
-    """One directed edge per (id, app_id, mapping_id): the latest, then the last type.
-
-    Time and type rank are packed into one number, so the winner is a plain maximum over the
-    undirected pairs; both directions are written only after that.
-    """
-    pairs = linked_pairs(sources, settings)
+def _undirected(pairs: DataFrame) -> DataFrame:
+    """Pairs with their ends in order. Time and type rank are packed into one number, so the winner is a plain maximum."""
     swapped = F.col("a") > F.col("b")
 
     def ordered(if_swapped: str, otherwise: str) -> Column:
         return F.when(swapped, F.col(if_swapped)).otherwise(F.col(otherwise))
 
     packed = F.shiftleft("t", _RANK_BITS)
-    best = (
-        pairs.select(
-            ordered("b", "a").alias("low"), ordered("a", "b").alias("high"), "app_id",
-            packed.bitwiseOR(ordered("b_rank", "a_rank").cast("bigint")).alias("low_best"),
-            packed.bitwiseOR(ordered("a_rank", "b_rank").cast("bigint")).alias("high_best"),
-        )
-        .groupBy("low", "high", "app_id")
-        .agg(F.max("low_best").alias("low_best"), F.max("high_best").alias("high_best"))
+    return pairs.select(
+        "owner", "n", ordered("b", "a").alias("low"), ordered("a", "b").alias("high"), "app_id",
+        packed.bitwiseOR(ordered("b_rank", "a_rank").cast("bigint")).alias("low_best"),
+        packed.bitwiseOR(ordered("a_rank", "b_rank").cast("bigint")).alias("high_best"),
     )
 
+
+_BEST = (F.max, "low_best"), (F.max, "high_best")
+#: What tells one owner's part in a pair from another's.
+LINK_KEY = ["owner", "low", "high", "app_id"]
+PAIR_KEY = LINK_KEY[1:]
+
+
+def owned_links(pairs: DataFrame) -> DataFrame:
+    """One row for each pair and owner: its best statement and the number of statements (n)."""
+    best = [use(c).alias(c) for use, c in _BEST]
+    return _undirected(pairs).groupBy(*LINK_KEY).agg(*best, F.sum("n").alias("n"))
+
+
+def best_links(links: DataFrame) -> DataFrame:
+    """One row for each pair, over all its owners."""
+    return links.groupBy(*PAIR_KEY).agg(*[use(c).alias(c) for use, c in _BEST])
+
+
+def directed(best: DataFrame) -> DataFrame:
+    """Both directions of each pair, as the output has them."""
+
     def end(x: str, y: str) -> Column:
         return F.struct(F.col(x).alias("id"), F.col(y).alias("mapping_id"), F.col(f"{x}_best").alias("best"))
 
@@ -170,6 +199,12 @@ def keyed_edges(sources, settings: Settings = DEFAULT) -> DataFrame:
     )
 
 
+def keyed_edges(sources, settings: Settings = DEFAULT) -> DataFrame:
+    """One directed edge per (id, app_id, mapping_id): the latest, then the last type. Both directions are written
+    only after the winners of the undirected pairs are known."""
+    return directed(best_links(_undirected(linked_pairs(sources, settings))))
+
+
 def row_count(sources, settings: Settings = DEFAULT) -> DataFrame:
     """How many directed edges the source rows state, without writing them out."""
     pairs = linked_pairs(sources, settings)

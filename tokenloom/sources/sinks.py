@@ -103,13 +103,14 @@ class KeyedTable:
 
     def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame | None:
         """Current rows, or None before the first write; ``before`` leaves out that batch and all
-        later ones, which is how things stood when it began. With ``keys`` only their rows are looked at: the
-        history is cut to them before anything is grouped."""
+        later ones, which is how things stood when it began. With ``keys`` (all or some columns of the key) only their rows are
+        looked at: the history is cut to them before anything is grouped."""
         every = self._every(before)
         if every is None:
             return None
         if keys is not None:
-            every = every.join(keys.select(*self.pk).distinct(), self.pk, "left_semi")
+            named = [c for c in self.pk if c in keys.columns]
+            every = every.join(keys.select(*named).distinct(), named, "left_semi")
         newest = latest_by(every, self.pk, ["batch_id"], every.columns)
         return newest.filter(~F.col("row_deleted")).select(*[c for c in every.columns if c not in ("batch_id", "row_deleted")])
 

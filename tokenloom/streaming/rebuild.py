@@ -30,7 +30,7 @@ from tokenloom.streaming.triggers import touched, trigger_keys
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def _only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+def only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is among the values of the single column of ``keys``."""
     wanted = keys.select(F.col(keys.columns[0]).alias("wanted_key"))
     return df.join(wanted, df[column] == F.col("wanted_key"), "left_semi")
@@ -39,17 +39,17 @@ def _only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
 def for_users(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     """All tables a user's own facts come from, cut down to some users."""
     user_ids = keep(user_ids)
-    users = keep(_only(sources["user"], "id", user_ids))
+    users = keep(only(sources["user"], "id", user_ids))
     cut = {"user": users}
     for table in ("user_personal_info", "user_bank_info", "user_work_related", "user_emergency_contact", "risk_user_credit_callback"):
-        cut[table] = _only(sources[table], "user_id", user_ids)
+        cut[table] = only(sources[table], "user_id", user_ids)
     owned = users.filter(has_text("device_id")).select("device_id").distinct()
-    cut["device_ids"] = _only(sources["device_ids"], "device_uuid", owned)
+    cut["device_ids"] = only(sources["device_ids"], "device_uuid", owned)
     sessions = cut["device_ids"].filter(has_text("session_uuid")).select("session_uuid").distinct()
     network = sources["device_network"]
-    cut["device_network"] = _only(network, "device_uuid", owned).unionByName(_only(network, "session_uuid", sessions))
+    cut["device_network"] = only(network, "device_uuid", owned).unionByName(only(network, "session_uuid", sessions))
     adids = users.filter(has_text("adid")).select("adid").distinct()
-    cut["adjust_callback_record"] = _only(sources["adjust_callback_record"], "adid", adids)
+    cut["adjust_callback_record"] = only(sources["adjust_callback_record"], "adid", adids)
     # those that several joins of an output read are cut once
     for table in ("user_personal_info", "user_bank_info", "user_emergency_contact", "device_ids"):
         cut[table] = keep(cut[table])
@@ -61,7 +61,7 @@ def for_users(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
 def for_user_rows(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     """Users with a stale row and those with the same phone number."""
     numbered = sources["user"].withColumn("mobile_norm", normalize_mobile("mobile"))
-    numbers = _only(numbered, "id", user_ids).select("mobile_norm").filter("mobile_norm IS NOT NULL").distinct()
+    numbers = only(numbered, "id", user_ids).select("mobile_norm").filter("mobile_norm IS NOT NULL").distinct()
     peers = numbered.join(numbers, "mobile_norm", "left_semi").select(F.col("id").alias("user_id"))
     return for_users(sources, peers, keep)
 
@@ -70,9 +70,9 @@ def _orders_and_their_facts(sources: Sources, orders: DataFrame) -> dict[str, Da
     numbers = orders.filter(has_text("order_no")).select("order_no").distinct()
     return {
         "user_order": orders,
-        "user_repay": _only(sources["user_repay"], "order_no", numbers),
-        "risk_user_approval_callback": _only(sources["risk_user_approval_callback"], "order_no", numbers),
-        "user_order_installment": _only(sources["user_order_installment"], "user_order_id", orders.select("id")),
+        "user_repay": only(sources["user_repay"], "order_no", numbers),
+        "risk_user_approval_callback": only(sources["risk_user_approval_callback"], "order_no", numbers),
+        "user_order_installment": only(sources["user_order_installment"], "user_order_id", orders.select("id")),
     }
 
 
@@ -82,7 +82,7 @@ def for_applications(sources: Sources, scope: DataFrame, keep: Keep) -> Sources:
 
 
 def for_loans(sources: Sources, scope: DataFrame, keep: Keep) -> Sources:
-    orders = keep(_only(sources["user_order"], "order_no", scope))
+    orders = keep(only(sources["user_order"], "order_no", scope))
     return sources.using(**_orders_and_their_facts(sources, orders))
 
 
@@ -102,14 +102,14 @@ def scope_of(output: str, keys: DataFrame, sources: Sources, changes: DataFrame
     tables no longer hold."""
     names = SCOPE[output]
     if output == "user_bankcard":
-        found = _only(sources["user_bank_info"], "id", keys)
+        found = only(sources["user_bank_info"], "id", keys)
         gone = ("user_bank_info", names)
     elif output == "application":
-        found = _only(sources["user_order"], "id", keys)
+        found = only(sources["user_order"], "id", keys)
         gone = ("user_order", names)
     elif output == "loan":
-        order_ids = _only(sources["user_order_installment"], "id", keys).select("user_order_id").distinct()
-        found = _only(sources["user_order"], "id", order_ids)
+        order_ids = only(sources["user_order_installment"], "id", keys).select("user_order_id").distinct()
+        found = only(sources["user_order"], "id", order_ids)
         gone = ("user_order", names)
     else:
         return keys.select(*names).distinct()
