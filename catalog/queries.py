@@ -31,6 +31,7 @@ from tokenloom.plans import assemble, edges, outputs, verify
 from tokenloom.settings import Workspace
 from tokenloom.sources.changes import change_image
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
+from tokenloom.sources.keyed import keyed_sources, only, write_keyed
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources, typed_view
@@ -255,6 +256,19 @@ add(
     ),
     f"SELECT s.id, s.app_code, s.adid, s.network_name, s.tracker_name FROM st_user s JOIN ({CHANGED_USERS}) k ON k.user_id = s.id",
 )
+
+
+def _keyed(c: Context) -> Sources:
+    folder = Workspace(c.spark).folder
+    write_keyed(Sources({n: lambda n=n: c.src[n] for n in ("user", "user_bank_info")}), folder)
+    return keyed_sources(c.spark, folder)
+
+
+add(
+    "s3_lookup_source",
+    lambda c: only(_keyed(c)["user_bank_info"], "user_id", triggers.user_keys(c.changes, c.src)).select("id", "user_id", "bank_account"),
+    f"SELECT b.id, b.user_id, b.bank_account FROM src_user_bank_info b WHERE b.user_id IN (SELECT user_id FROM ({CHANGED_USERS}))",
+)
 CHANGED_ORDERS = (
     "SELECT s.id AS order_id FROM src_user_order s JOIN (SELECT row_id AS user_id FROM src_changes WHERE source_table = 'user' UNION SELECT before_user_id FROM src_changes WHERE source_table = 'user_personal_info' AND op = 'u' "
     "UNION SELECT after_user_id FROM src_changes WHERE source_table = 'user_personal_info') k ON k.user_id = s.user_id"

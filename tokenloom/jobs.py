@@ -1,4 +1,4 @@
-"""Command line: ``python -m tokenloom.jobs bulk|tokenize|reconcile|incr|verify``."""
+"""Command line: ``python -m tokenloom.jobs bulk|tokenize|reconcile|incr|verify|layout``."""
 
 from __future__ import annotations
 
@@ -25,6 +25,7 @@ from tokenloom.plans.assemble import assemble_application, assemble_bankcard, as
 from tokenloom.plans.edges import LINK_KEY
 from tokenloom.settings import Workspace, checkpointed, tune
 from tokenloom.sources.changes import scan_changes
+from tokenloom.sources.keyed import is_keyed, keyed_sources, write_keyed
 from tokenloom.sources.schemas import SOURCE_SCHEMAS, TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable, materialize, write_detail
 from tokenloom.sources.tables import Sources, parquet_sources, typed_view
@@ -133,7 +134,7 @@ def check(sources: Sources):
 
 def job_sources(spark: SparkSession, source: str, target: str) -> Sources:
     """The tables under ``source`` with the dictionary that the tokenize job wrote, else the source's own, else an empty one."""
-    sources = parquet_sources(spark, source)
+    sources = (keyed_sources if is_keyed(spark, source) else parquet_sources)(spark, source)
     for folder in (f"{target}/vt_token_cache", f"{source}/vt_token_cache"):
         try:
             found = spark.read.parquet(folder)
@@ -152,7 +153,7 @@ def make_tokenizer(name: str) -> Tokenizer:
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tokenloom")
-    parser.add_argument("job", choices=["bulk", "tokenize", "reconcile", "incr", "verify"])
+    parser.add_argument("job", choices=["bulk", "tokenize", "reconcile", "incr", "verify", "layout"])
     parser.add_argument("--source", required=True, help="folder with one parquet table per source table")
     parser.add_argument("--target", required=True)
     parser.add_argument("--changes", help="folder of change files (incr)")
@@ -173,6 +174,8 @@ def main() -> None:
         tokenize(spark, sources_now(), f"{args.target}/vt_token_cache", tokenizer).show()
     elif args.job == "reconcile":
         reconcile(sources_now(), tokenizer, f"{args.target}/reconcile_log").show()
+    elif args.job == "layout":
+        write_keyed(parquet_sources(spark, args.source), args.target)  # the other jobs may take it as their source
     elif args.job == "verify":
         check(sources_now()).show()
     else:

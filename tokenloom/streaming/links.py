@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.codes import VT_TYPES
 from tokenloom.functions.text import blank_to_null, has_text, normalize_mobile
-from tokenloom.operators.dictionary import KEY
 from tokenloom.plans.edges import LINK_KEY, PAIR_KEY, best_links, device_owner, device_pairs, directed, linked_pairs, owned_links, user_owner, user_pairs
 from tokenloom.settings import DEFAULT, Settings, Workspace
+from tokenloom.sources.keyed import only
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources
-from tokenloom.streaming.rebuild import Keep, for_users, only
+from tokenloom.streaming.rebuild import Keep, dictionary_rows, for_users
 from tokenloom.streaming.triggers import touched
 
 # The tables that identity edges are drawn from.
@@ -80,7 +80,7 @@ def links_of(users: DataFrame, devices: DataFrame, sources: Sources, keep: Keep,
     ad_ids = seen.select(F.explode(F.array(blank_to_null("aaid"), blank_to_null("idfa"))).alias("raw_value")).dropna().distinct()
     ad_ids = ad_ids.withColumn("vt_type", F.lit(VT_TYPES["gaid_idfa"]))
     held = sources.using(
-        device_ids=seen, user=only(sources["user"], "device_id", devices), vt_token_cache=sources["vt_token_cache"].join(ad_ids, KEY, "left_semi")
+        device_ids=seen, user=only(sources["user"], "device_id", devices), vt_token_cache=dictionary_rows(sources["vt_token_cache"], keep(ad_ids))
     )
     return owned_links(user_pairs(own, settings).unionByName(device_pairs(held, settings)))
 

@@ -19,6 +19,7 @@ from tokenloom.operators.tokenize import Tokenizer
 from tokenloom.operators.upsert import keep_existing
 from tokenloom.plans import outputs
 from tokenloom.settings import DEFAULT, Settings, Workspace
+from tokenloom.sources.keyed import only
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources
@@ -30,12 +31,6 @@ from tokenloom.streaming.triggers import touched, trigger_keys
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def only(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """Rows whose ``column`` is among the values of the single column of ``keys``."""
-    wanted = keys.select(F.col(keys.columns[0]).alias("wanted_key"))
-    return df.join(wanted, df[column] == F.col("wanted_key"), "left_semi")
-
-
 def for_users(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     """All tables a user's own facts come from, cut down to some users."""
     user_ids = keep(user_ids)
@@ -54,8 +49,12 @@ def for_users(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
     for table in ("user_personal_info", "user_bank_info", "user_emergency_contact", "device_ids"):
         cut[table] = keep(cut[table])
     restricted = sources.using(**cut)
-    dictionary = sources["vt_token_cache"].join(source_values(restricted), KEY, "left_semi")
-    return restricted.using(vt_token_cache=keep(dictionary))
+    return restricted.using(vt_token_cache=keep(dictionary_rows(sources["vt_token_cache"], keep(source_values(restricted)))))
+
+
+def dictionary_rows(dictionary: DataFrame, values: DataFrame) -> DataFrame:
+    """The entries of some (vt_type, raw_value)."""
+    return only(dictionary, "raw_value", values.select("raw_value")).join(values, KEY, "left_semi")
 
 
 def for_user_rows(sources: Sources, user_ids: DataFrame, keep: Keep) -> Sources:
@@ -77,7 +76,7 @@ def _orders_and_their_facts(sources: Sources, orders: DataFrame) -> dict[str, Da
 
 
 def for_applications(sources: Sources, scope: DataFrame, keep: Keep) -> Sources:
-    orders = keep(sources["user_order"].join(scope, ["user_id", "order_no"], "left_semi"))
+    orders = keep(only(sources["user_order"], "user_id", scope.select("user_id")).join(scope, ["user_id", "order_no"], "left_semi"))
     return for_users(sources, scope.select("user_id").distinct(), keep).using(**_orders_and_their_facts(sources, orders))
 
 
@@ -134,7 +133,7 @@ def rebuild_scope(
     if output == "user_bankcard":
         return outputs.bankcard_rows(for_users(sources, scope, keep), "all", tokenizer, settings)
     if output == "user_product":
-        orders = sources["user_order"].join(scope, SCOPE[output], "left_semi")
+        orders = only(sources["user_order"], "user_id", scope.select("user_id")).join(scope, SCOPE[output], "left_semi")
         return outputs.product_output(sources.using(user_order=orders), settings)
     if output == "application":
         return outputs.application_output(for_applications(sources, scope, keep), "all", tokenizer, settings)
