@@ -260,7 +260,7 @@ add(
 
 def _keyed(c: Context) -> Sources:
     folder = Workspace(c.spark).folder
-    write_keyed(Sources({n: lambda n=n: c.src[n] for n in ("user", "user_bank_info")}), folder)
+    write_keyed(Sources({n: lambda n=n: c.src[n] for n in ("user", "user_bank_info")}), folder, 32)
     return keyed_sources(c.spark, folder)
 
 
@@ -668,6 +668,10 @@ add(
     lambda c: rebuild.rebuild_rows("application", triggers.application_keys(order_changes(c), c.src), c.src, HASH),
     o.app_sql(f"SELECT * FROM ({o.APP_FILLED}) WHERE {o.APP_READY} AND id IN ({ORDER_KEYS})"),
 )
+# the same rows when a service is asked in batches, once for all token columns
+add("t6_user_by_service", lambda c: outputs.user_output(c.src, "all", BatchHash()), o.user_sql(f"SELECT * FROM ({o.USER_FILLED}) WHERE {has('mobile_token')}"))
+add("t6_user_info_by_service", lambda c: outputs.user_info_output(c.src, "all", BatchHash()), o.info_sql(o.INFO_FILLED))
+add("t6_application_by_service", lambda c: outputs.application_output(c.src, "all", BatchHash()), o.app_sql(f"SELECT * FROM ({o.APP_FILLED}) WHERE {o.APP_READY}"))
 add("q6_loan_bulk", lambda c: outputs.loan_output(c.src), o.loan_sql())
 add(
     "q6_loan_incremental",

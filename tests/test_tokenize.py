@@ -5,8 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.queries import BatchHash
 from tests.conftest import rows
-from tokenloom.operators import dictionary as dic
+from tokenloom.operators import dictionary as dic, tokenize
 from tokenloom.operators.contacts import tokenize_contacts_json
 from tokenloom.operators.tokenize import (
     DictionaryTokenizer,
@@ -21,6 +22,7 @@ from tokenloom.operators.tokenize import (
     tokenize_or_lookup,
     tokenize_values,
 )
+from tokenloom.plans import outputs
 
 DICT = "id bigint, vt_type int, raw_value string, token string, masking string, status int, retry_count int, last_error string"
 
@@ -76,7 +78,7 @@ def test_count_mismatch_is_an_error(spark):
     with pytest.raises(TokenCountMismatch):
         response_to_rows(1, ["a", "b"], ["x"], None)
     out = tokenize_values(pairs(spark, "a", "b"), Short(), retries=1, calls_at_once=1)
-    assert {(r.status, r.error) for r in out.collect()} == {(2, "token count mismatch: sent=2 got=1")}
+    assert {(r.status, r.error) for r in out.collect()} == {(2, "asked for 2 tokens, received 1")}
 
 
 def test_missing_masks_are_null():
@@ -167,3 +169,27 @@ def test_results_replace_rows(spark):
     new = spark.createDataFrame([(1, 1, "a", "t-a", None)], "id bigint, vt_type int, raw_value string, token string, masking string")
     assert rows(dic.replace_dict_rows(dictionary, new).select("id", "token", "status")) == [(1, "t-a", 1), (2, "t", 1)]
     assert dictionary.filter(F.col("token").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("output", ["user", "user_info", "application"])
+def test_one_pass_of_the_tokenizer_for_all_columns(spark, tables, monkeypatch, output):
+    """All token columns of an output are asked for together; a service gives what the plain hash gives."""
+    src, passes, real = tables[1], [], tokenize.tokenize_values
+    monkeypatch.setattr(tokenize, "tokenize_values", lambda values, *more, **options: passes.append(1) or real(values, *more, **options))
+    run = {"user": outputs.user_output, "user_info": outputs.user_info_output, "application": outputs.application_output}[output]
+    for phase in ("miss", "all"):
+        passes.clear()
+        asked = rows(run(src, phase, BatchHash()))
+        assert len(passes) == 1
+        assert asked == rows(run(src, phase, HashTokenizer()))
+
+
+def test_shared_and_missing_values_of_several_columns(spark):
+    data = [(1, "a", None, "b", None), (2, "a", "known", "a", " "), (3, " ", None, None, None), (4, "b", None, "a", "kept")]
+    df = spark.createDataFrame(data, "id bigint, x string, x_token string, y string, y_token string")
+    columns = {"x_token": ("x", 1), "y_token": ("y", 4)}
+    got = {r["id"]: (r["x_token"], r["y_token"]) for r in tokenize.tokenize_columns(df, columns, BatchHash()).collect()}
+    token = lambda kind, raw: BatchHash().call(kind, [raw])[0][0]
+    assert got == {1: (token(1, "a"), token(4, "b")), 2: ("known", token(4, "a")), 3: (None, None), 4: (token(1, "b"), "kept")}
+    requests = tokenize.lacking_values(df, columns, "id")
+    assert "raw_value" not in tokenize.ask_once([requests], BatchHash()).columns

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -60,7 +61,7 @@ class TokenCountMismatch(RuntimeError):
 def response_to_rows(vt_type: int, values: list[str], tokens: list[str], masking: list[str | None] | None) -> pd.DataFrame:
     """Pairs the k-th token with the k-th value; missing masks are NULL."""
     if len(tokens) != len(values):
-        raise TokenCountMismatch(f"token count mismatch: sent={len(values)} got={len(tokens)}")
+        raise TokenCountMismatch(f"asked for {len(values)} tokens, received {len(tokens)}")
     masks = list(masking or [])[: len(values)]
     masks += [None] * (len(values) - len(masks))
     return pd.DataFrame(
@@ -167,6 +168,57 @@ def tokenize_or_lookup(
     return joined.withColumn(token, F.coalesce(stored, answered)).drop("lacking", "answer")
 
 
+# token column -> (raw column, kind)
+Columns = dict[str, tuple[str, int]]
+
+
+def _lacking(token: str, raw: str) -> Column:
+    """The raw value that has to be asked for, if any."""
+    return F.when(~has_text(token), blank_to_null(raw))
+
+
+def lacking_values(df: DataFrame, columns: Columns, row_key: str) -> DataFrame:
+    """(row_key, slot, vt_type, raw_value) for every token column without a stored token; rows that share ``row_key`` share their values."""
+    asked = [
+        F.struct(F.lit(slot).alias("slot"), F.lit(kind).alias("vt_type"), _lacking(token, raw).alias("raw_value"))
+        for slot, (token, (raw, kind)) in enumerate(columns.items())
+    ]
+    rows = df.select(F.col(row_key).alias("row_key"), F.explode(F.array(*asked)).alias("asked"))
+    return rows.select("row_key", "asked.*").filter("raw_value IS NOT NULL").distinct()
+
+
+def ask_once(requests: list[DataFrame], tokenizer: Tokenizer, **call_options) -> DataFrame:
+    """(vt_type, value_hash, answer) for the values of all ``requests``: each value is sent once, whatever columns hold it. What is kept
+    of a value is its hash."""
+    values = reduce(DataFrame.unionByName, [r.select("vt_type", "raw_value") for r in requests])
+    answers = tokenize_values(values, tokenizer, **call_options)
+    return checkpointed(answers.select("vt_type", F.sha2("raw_value", 256).alias("value_hash"), F.col("token").alias("answer")))
+
+
+def fill_tokens(df: DataFrame, columns: Columns, answers: DataFrame, row_key: str) -> DataFrame:
+    """``df`` with its token columns filled from ``answers``. Answers meet narrow rows; the wide rows move once, by ``row_key``.
+    A value without an answer fails the job."""
+    asked = lacking_values(df, columns, row_key).withColumn("value_hash", F.sha2("raw_value", 256))
+    found = asked.join(answers, ["vt_type", "value_hash"], "left").withColumn("answer", _insist(F.col("answer"), F.col("raw_value")))
+    fresh = [F.max(F.when(F.col("slot") == slot, F.col("answer"))).alias(f"fresh_{slot}") for slot in range(len(columns))]
+    rows = df.join(found.groupBy(F.col("row_key").alias(row_key)).agg(*fresh), row_key, "left")
+    filled = {token: F.coalesce(F.when(has_text(token), F.col(token)), F.col(f"fresh_{slot}")) for slot, token in enumerate(columns)}
+    return rows.withColumns(filled).select(*df.columns)
+
+
+def asks_in_batches(tokenizer: Tokenizer) -> bool:
+    return tokenizer.column(F.lit(0), F.lit("")) is None
+
+
+def tokenize_columns(df: DataFrame, columns: Columns, tokenizer: Tokenizer, row_key: str = "id", **call_options) -> DataFrame:
+    """``tokenize_or_lookup`` for several columns, with one pass of the tokenizer over the values of all."""
+    if not asks_in_batches(tokenizer):
+        for token, (raw, kind) in columns.items():
+            df = tokenize_or_lookup(df, raw, token, kind, tokenizer, row_key)
+        return df
+    return fill_tokens(df, columns, ask_once([lacking_values(df, columns, row_key)], tokenizer, **call_options), row_key)
+
+
 def preload(
     dictionary: DataFrame,
     tokenizer: Tokenizer,
@@ -180,7 +232,7 @@ def preload(
     marked = mark_oversize(dictionary)
     work = select_work(marked, mode, retry_failed, sources, types)
     results = tokenize_values(work, tokenizer, **call_options)
-    if tokenizer.column(F.lit(0), F.lit("")) is None:
+    if asks_in_batches(tokenizer):
         results = checkpointed(results)
     return upsert_dict(marked, results)
 

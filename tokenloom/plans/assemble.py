@@ -65,6 +65,12 @@ def first_or(token: str, raw: str):
     return F.when(has_text(token), F.col(token)).otherwise(F.col(raw))
 
 
+def profile_numbers(sources) -> DataFrame:
+    """The ID number of each newest profile that has one, and the token known for it."""
+    numbers = profile_latest(sources["user_personal_info"]).select("user_id", F.trim("bvn").alias("bvn_raw")).filter(has_text("bvn_raw"))
+    return join_token(numbers, sources["vt_token_cache"], VT_TYPES["id_number"], "bvn_raw", "id_number_token", "user_id")
+
+
 def assemble_user_info(sources, contacts: DataFrame | None = None) -> DataFrame:
     """One row per user with all profile facts; the document itself is built by the output.
 
@@ -78,8 +84,7 @@ def assemble_user_info(sources, contacts: DataFrame | None = None) -> DataFrame:
 
     apps = app_latest(sources["app_config"]).drop("id")
     profile = profile_latest(sources["user_personal_info"])
-    numbers = profile.select("user_id", F.trim("bvn").alias("bvn_raw")).filter(has_text("bvn_raw"))
-    numbers = join_token(numbers, sources["vt_token_cache"], VT_TYPES["id_number"], "bvn_raw", "id_number_token", "user_id")
+    numbers = profile_numbers(sources)
 
     if contacts is None:
         contacts = contacts_json_by_user(sources)

@@ -15,7 +15,7 @@ from tokenloom.functions.times import created_ms_from_date, epoch_ms, lock_expir
 from tokenloom.operators.latest import contacts_by_user
 from tokenloom.operators.predicates import token_miss, token_ready
 from tokenloom.operators.projection import offset_id, with_constants
-from tokenloom.operators.tokenize import Tokenizer, tokenize_or_lookup
+from tokenloom.operators.tokenize import Tokenizer, ask_once, asks_in_batches, fill_tokens, lacking_values, tokenize_columns
 from tokenloom.plans.assemble import (
     application_facts,
     application_rows,
@@ -27,6 +27,7 @@ from tokenloom.plans.assemble import (
     last_per_key,
     loan_facts,
     loan_rows,
+    profile_numbers,
 )
 from tokenloom.plans.edges import keyed_edges
 from tokenloom.settings import DEFAULT, Settings
@@ -58,9 +59,11 @@ def _select_phase(
     tokenizer: Tokenizer | None,
     also: dict[str, str] | None = None,
     row_key: str = "id",
+    answers: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of a phase, tokens filled in. ``also`` are tokens whose absence alone does not make
-    a row a miss: the hit phase writes NULL for them, the other phases ask the tokenizer."""
+    a row a miss: the hit phase writes NULL for them, the other phases ask the tokenizer. ``answers`` are those of a
+    tokenizer that was asked before."""
     if phase not in PHASES:
         raise ValueError(f"phase must be one of {PHASES}")
     if phase == "hit":
@@ -69,9 +72,13 @@ def _select_phase(
         raise ValueError("rows without tokens need a tokenizer")
     miss = token_miss(pairs)
     wide = wide.filter(miss if phase == "miss" else ready | miss)
-    for token, raw in (pairs | (also or {})).items():
-        wide = tokenize_or_lookup(wide, raw, token, KIND_OF[token], tokenizer, row_key)
-    return wide.filter(ready)
+    columns = _columns(pairs | (also or {}))
+    filled = tokenize_columns(wide, columns, tokenizer, row_key) if answers is None else fill_tokens(wide, columns, answers, row_key)
+    return filled.filter(ready)
+
+
+def _columns(pairs: dict[str, str]) -> dict[str, tuple[str, int]]:
+    return {token: (raw, KIND_OF[token]) for token, raw in pairs.items()}
 
 
 def user_output(sources, phase: str = "hit", tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
@@ -101,14 +108,23 @@ def user_output(sources, phase: str = "hit", tokenizer: Tokenizer | None = None,
 
 
 def user_info_output(sources, phase: str = "hit", tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
-    """Contact numbers are always tokenised, in both phases, before they enter the document."""
-    contacts = contact_tokens(sources)
-    if tokenizer is not None:
-        contacts = tokenize_or_lookup(contacts, "contact_norm", "contact_token", KIND_OF["contact_token"], tokenizer)
+    """Contact numbers are always tokenised, in both phases, before they enter the document. A service is asked once, for
+    the numbers of contacts and of profiles together."""
+    contacts, answers = contact_tokens(sources), None
+    numbers = _columns({"contact_token": "contact_norm"})
+    if tokenizer is not None and asks_in_batches(tokenizer):
+        requests = [lacking_values(contacts, numbers, "id")]
+        if phase != "hit":
+            known = sources["user"].select(F.col("id").alias("user_id"))
+            requests.append(lacking_values(profile_numbers(sources).join(known, "user_id", "left_semi"), _columns(INFO_TOKENS), "user_id"))
+        answers = ask_once(requests, tokenizer)
+        contacts = fill_tokens(contacts, numbers, answers, "id")
+    elif tokenizer is not None:
+        contacts = tokenize_columns(contacts, numbers, tokenizer)
     contacts = contacts_by_user(contacts, "contact_token")
     wide = assemble_user_info(sources, contacts)
     ready = token_ready([], {"id_number_token": "bvn_raw"})
-    rows = _select_phase(wide, phase, ready, INFO_TOKENS, tokenizer, row_key="user_id")
+    rows = _select_phase(wide, phase, ready, INFO_TOKENS, tokenizer, row_key="user_id", answers=answers)
     projected = rows.select(
         offset_id("user_id", settings.id_offset).alias("user_id"),
         F.when(has_text("bvn_raw"), F.col("id_number_token")).otherwise("").alias("id_number"),
@@ -165,7 +181,8 @@ def product_output(sources, settings: Settings = DEFAULT) -> DataFrame:
 def application_output(sources, phase: str = "hit", tokenizer: Tokenizer | None = None, settings: Settings = DEFAULT) -> DataFrame:
     wide = application_rows(sources)
     ready = token_ready(["mobile_token", "bank_account_token"], {"id_number_token": "bvn_raw"})
-    rows = _select_phase(wide, phase, ready, APPLICATION_TOKENS, tokenizer, also={"gaid_idfa_token": "gaid_idfa_raw"})
+    # all values belong to the user, so answers come back by user and orders move once for them
+    rows = _select_phase(wide, phase, ready, APPLICATION_TOKENS, tokenizer, also={"gaid_idfa_token": "gaid_idfa_raw"}, row_key="user_id")
     # tokens follow from the user, so (mobile, user, sn) repeats exactly where (user, order_no) does
     rows = application_facts(last_per_key(rows, ["user_id", "order_no"]), settings)
     zone, user_id = settings.zone, offset_id("user_id", settings.id_offset)
