@@ -347,6 +347,32 @@ def test_block_decisions_reach_aliases(spark):
     assert {(r["host"], r["path"]) for r in found if r["page_id"] in (1, 8, 9)} == {("bad.org", "/x"), ("", ""), ("d.com", "")}
 
 
+LINKED = [
+    ("http://x.org/en/a", "/bad/p", "http://x.org/bad/p"), ("http://x.org/en/a?q=1", "b", "http://x.org/en/b"), ("http://x.org", "b", "http://x.org/b"),
+    ("https://x.org/en/", "//y.org/z", "https://y.org/z"), ("http://x.org/a/b/c", "../d?x=/../e", "http://x.org/a/d?x=/../e"), ("http://x.org/a/b", "../../../d", "http://x.org/d"),
+    ("http://x.org/a/b", "./", "http://x.org/a/"), ("http://x.org/a/b?c#d", "?e", "http://x.org/a/b?e"), ("http://x.org/a", "#top", None), ("http://x.org/a", "mailto:x@y", None),
+    ("http://x.org/a", "http://y.org/?a=1&amp;b=2", "http://y.org/?a=1&b=2"), ("no-scheme/x", "/y", None), ("no-scheme/x", "http://y.org/", "http://y.org/"), ("http://x.org/a", "c:d", None),
+    ("http://x.org/a?u=http://z.org/b", "c", "http://x.org/c"), ("http://x.org/a/b", "..", "http://x.org/"),
+]
+
+
+def test_link_targets_are_resolved(spark):
+    found = spark.createDataFrame([(k, u, t) for k, (u, t, _) in enumerate(LINKED)], "k int, url string, target string")
+    found = found.select("k", url_filter.resolved(F.col("target"), F.col("url")).alias("other")).collect()
+    assert {r["k"]: r["other"] for r in found} == {k: want for k, (_, _, want) in enumerate(LINKED)}
+
+
+def test_relative_links_carry_decisions(spark):
+    pages = [
+        (1, "http://x.org/en/a", '<link rel=canonical href="/bad/p">'), (2, "http://x.org/en/b", '<meta content="0; url=../bad/q" http-equiv="refresh">'),
+        (3, "http://y.org/c", '<link href="//x.org/bad/r?a=1&amp;b=2" rel="canonical">'), (4, "http://x.org/en/d", '<a href="/bad/p">'), (5, "http://z.org/e", '<link rel="canonical" href="http://x.org/en/a">'),
+    ]
+    found = url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), [("x.org", "/bad/", "block")], Scratch(spark, "t")).collect()
+    assert {r["page_id"]: (r["verdict"], r["decided_by"]) for r in found} == {
+        1: ("block", "alias"), 2: ("block", "alias"), 3: ("block", "alias"), 4: ("allow", "default"), 5: ("block", "alias")
+    }
+
+
 @pytest.mark.parametrize("length", [32, 4096])
 def test_packing_loses_nothing_and_pads_little(spark, tokenizer, documents, length):
     rows = [*HARD, *documents]

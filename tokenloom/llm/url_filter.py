@@ -21,11 +21,12 @@ from tokenloom.llm.components import connected_components
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Links to an alias in a page's head: canonical links (either order of attributes) and refresh redirects.
+#: Links to an alias in a page's head: canonical links and refresh redirects, each in either order of attributes.
 LINKS = (
     r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""",
     r"""(?i)<link\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)["']?[^>]*\brel\s*=\s*["']?canonical\b""",
     r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*\burl\s*=\s*["']?([^"'\s>]+)""",
+    r"""(?i)<meta\b[^>]*\burl\s*=\s*["']?([^"'\s>]+)["']?[^>]*\bhttp-equiv\s*=\s*["']?refresh\b""",
 )
 
 
@@ -38,11 +39,39 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.when(absolute, host).otherwise(""), F.when(absolute, path).otherwise("")
 
 
+def _without_dots(path: Column) -> Column:
+    """A path without its segments . and .., of which the second takes back the one before."""
+    parts = F.split(path, "/")
+    step = lambda kept, p: F.when(p == ".", kept).when(p == "..", F.slice(kept, F.lit(1), F.greatest(F.lit(1), F.size(kept) - 1))).otherwise(F.concat(kept, F.array(p)))
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.slice(parts, F.lit(1), F.lit(1)), step)
+    # a path that ends in a dotted segment names a folder
+    return F.concat(F.array_join(kept, "/"), F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise(""))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute url of a link target, as read from the page at ``url``; null if there is none."""
+    target = F.replace(F.replace(target, F.lit("&#38;"), F.lit("&")), F.lit("&amp;"), F.lit("&"))
+    scheme, site = F.regexp_extract(url, "^([^/?#]*:)//", 1), F.regexp_extract(url, "^[^/?#]*://[^/?#]*", 0)
+    page = F.regexp_extract(url, "(?s)^[^?#]*", 0)
+    folder = F.regexp_extract(F.substring(page, F.char_length(site) + 1, F.char_length(page)), "(?s)^.*/", 0)
+    path, rest = F.regexp_extract(target, "(?s)^[^?#]*", 0), F.regexp_extract(target, "(?s)[?#].*$", 0)
+    below = F.concat(F.when(folder == "", "/").otherwise(folder), path)
+    return (
+        F.when(target.contains("://") & target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when((site == "") | (target == "") | target.rlike("^(#|[A-Za-z][A-Za-z0-9+.-]*:)"), F.lit(None))
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .when(target.startswith("?"), F.concat(page, target))
+        .when(target.startswith("/"), F.concat(site, _without_dots(path), rest))
+        .otherwise(F.concat(site, _without_dots(below), rest))
+    )
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(url, other) for the canonical links and refresh redirects in ``pages`` (url, html), absolute targets only."""
+    """(url, other) for the canonical links and refresh redirects in ``pages`` (url, html), made absolute by the page's url."""
     targets = F.array_distinct(F.flatten(F.array(*(F.regexp_extract_all("html", F.lit(p), 1) for p in LINKS))))
-    found = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select("url", F.explode(targets).alias("other"))
-    return found.where("url is not null and instr(other, '://') > 0 and other <> url")
+    found = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv")).select("url", F.explode(targets).alias("target"))
+    found = found.where("url is not null").select("url", resolved(F.col("target"), F.col("url")).alias("other"))
+    return found.where("other is not null and other <> url")
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
