@@ -19,19 +19,24 @@ from tokenloom.operators.tokenize import (
     HashTokenizer,
     Tokenizer,
     difference_rows,
+    ended_counts,
+    found_counts,
     preload,
     preload_summary,
+    progress_stats,
     reconcile_dictionary,
     reconcile_summary,
     reconcile_verdict,
+    summary_of,
     tokenize_or_lookup,
     tokenize_values,
 )
-from tokenloom.plans import assemble, edges, outputs, verify
+from tokenloom.plans import assemble, digests, edges, outputs, verify
 from tokenloom.settings import Workspace
 from tokenloom.sources.changes import change_image
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
 from tokenloom.sources.keyed import keyed_sources, only, write_keyed
+from tokenloom.sources.observed import CountsWritten, RowsWritten
 from tokenloom.sources.schemas import TARGET_KEYS
 from tokenloom.sources.sinks import KeyedTable
 from tokenloom.sources.tables import Sources, typed_view
@@ -313,6 +318,17 @@ o.CTES["target_info"] = (
 EDGE_COUNTS = "SELECT id, app_id, mapping_id, type, event_time, count(*) AS n FROM edges GROUP BY ALL"
 add("j14_edge_joins", lambda c: edges.row_count(c.src), "SELECT count(*) AS id_mapping_cnt FROM edges")
 
+
+def _edges_of(kind: str) -> Callable[[Context], DataFrame]:
+    """The edges that one kind of row states, joined to the identifiers of its user or device."""
+    if kind == "device":
+        return lambda c: edges.stated_edges(edges.device_pairs(c.src, every_time=True))
+    return lambda c: edges.stated_edges(edges.user_pairs(c.src, every_time=True, stated_by=(kind,)))
+
+
+for _kind, _branches in {"order": slice(0, 5), "user": slice(5, 7), "card": slice(7, 8), "device": slice(8, 9)}.items():
+    add(f"j14_edges_by_{_kind}", _edges_of(_kind), f"SELECT id, app_id, mapping_id, type, event_time, count(*) AS n FROM ({' UNION ALL '.join(o.EDGE_BRANCHES[_branches])}) GROUP BY ALL")
+
 # --- aggregates ----------------------------------------------------------------------------------
 add("a01_approval_latest_by_order", lambda c: latest.approval_latest_by_order(c.src["risk_user_approval_callback"]), "SELECT * FROM a_approval")
 add("a02_paid_latest_by_order", lambda c: latest.paid_latest_by_order(c.src["user_repay"]), "SELECT * FROM a_paid")
@@ -704,6 +720,40 @@ def _followed_links(c: Context) -> DataFrame:
 
 add("q7_id_mapping_incremental", _followed_links, o.KEYED_EDGES)
 
+
+
+def _fewer_orders(c: Context) -> Sources:
+    """The tables after every other changed order was deleted."""
+    changed = F.col("disburse_time").isNotNull() & F.col("settled_time").isNull()
+    return c.src.using(user_order=c.src["user_order"].filter(~(changed & (F.col("id") % 2 == 0))))
+
+
+def _products_loaded(c: Context) -> KeyedTable:
+    target = KeyedTable(c.spark, f"{Workspace(c.spark).folder}/user_product", TARGET_KEYS["user_product"])
+    target.upsert(outputs.product_output(c.src), 0)
+    return target
+
+
+def _gone_products(c: Context) -> DataFrame:
+    keep = Workspace(c.spark).keep
+    scope = keep(triggers.product_keys(order_changes(c)).select("user_id", "product_id").distinct())
+    stored = rebuild.stored_for("user_product", _products_loaded(c), 1, scope, keep)
+    return rebuild.gone_rows("user_product", stored, rebuild.rebuild_scope("user_product", scope, _fewer_orders(c), keep=keep), scope)
+
+
+def _products_after_deletes(c: Context) -> DataFrame:
+    target = _products_loaded(c)
+    rebuild.RebuildJob("user_product", lambda: _fewer_orders(c), target, propagate_deletes=True).run_batch(order_changes(c), 1)
+    return target.read()
+
+
+o.CTES["fewer_orders"] = f"SELECT * FROM src_user_order WHERE NOT coalesce(id IN ({ORDER_CHANGED}) AND id % 2 = 0, false)"
+o.CTES["w_product_fewer"] = o.CTES["w_product"].replace("src_user_order", "fewer_orders")
+o.CTES["st_product_fewer"] = o.CTES["st_product"].replace("w_product", "w_product_fewer")
+PRODUCT_FEWER = o.PRODUCT.replace("st_product", "st_product_fewer")
+add("r10_gone_rows", _gone_products, f"SELECT group_user_id, product_id FROM ({o.PRODUCT}) EXCEPT SELECT group_user_id, product_id FROM ({PRODUCT_FEWER})")
+add("r10_target_after_deletes", _products_after_deletes, PRODUCT_FEWER)
+
 # --- checks --------------------------------------------------------------------------------------
 def folded(x: str) -> str:
     return f"lower(trim(coalesce({x}, '')))"
@@ -719,6 +769,74 @@ add(
     lambda c: verify.all_column_differences(outputs.user_output(c.src, "all", HASH), outputs.user_output(c.src, "hit").unionByName(outputs.user_output(c.src, "miss", HASH))),
     f"SELECT *, 'left' AS side FROM ({o.user_sql(o.USER_HIT)}) WHERE false",
 )
+
+
+def _all_rows(c: Context, output: str) -> DataFrame:
+    """A rebuild whose scope is everything, as a change stream would do it."""
+    keys = {
+        "user": c.src["user"].select(F.col("id").alias("user_id")),
+        "user_info": c.src["user"].select(F.col("id").alias("user_id")),
+        "user_bankcard": c.src["user_bank_info"].select("user_id"),
+        "user_product": c.src["user_order"].select("user_id", "product_id"),
+        "application": c.src["user_order"].select("user_id", "order_no"),
+        "loan": c.src["user_order"].select("order_no"),
+    }[output]
+    return rebuild.rebuild_scope(output, keys.dropna().distinct(), c.src, HASH)
+
+
+def _bulk_rows(c: Context, output: str) -> DataFrame:
+    """What the bulk load writes, both phases."""
+    phased = {"user": outputs.user_output, "user_info": outputs.user_info_output, "user_bankcard": outputs.bankcard_rows, "application": outputs.application_output}
+    if output in phased:
+        return phased[output](c.src, "hit", HASH).unionByName(phased[output](c.src, "miss", HASH))
+    return (outputs.product_output if output == "user_product" else outputs.loan_output)(c.src)
+
+
+def _profile_differences(c: Context) -> DataFrame:
+    """A bulk load in which the newest user has an outdated name, against a rebuild of all users, every column."""
+    work = Workspace(c.spark)
+    loaded = work.keep(_bulk_rows(c, "user_info"))
+    newest = loaded.agg(F.max("user_id").alias("newest"))
+    stale = loaded.join(newest, F.col("user_id") == F.col("newest"), "left").withColumn("full_name", F.when(F.col("newest").isNotNull(), F.concat(F.lit("old "), "full_name")).otherwise(F.col("full_name")))
+    return digests.digest_differences(work, work.keep(stale.drop("newest")), work.keep(_all_rows(c, "user_info")), TARGET_KEYS["user_info"])
+
+
+def _rebuild_summary(c: Context) -> DataFrame:
+    lines = []
+    for output in ("user", "user_bankcard", "user_product", "application", "loan"):
+        work = Workspace(c.spark)
+        loaded, again = work.keep(_bulk_rows(c, output)), work.keep(_all_rows(c, output))
+        lines.append(digests.difference_summary(digests.digest_differences(work, loaded, again, TARGET_KEYS[output]), output))
+    return reduce(DataFrame.unionByName, lines)
+
+
+INFO_ALL = o.info_sql(o.INFO_FILLED)
+NEWEST_INFO = f"(SELECT max(user_id) FROM ({INFO_ALL}))"
+add(
+    "v1_rebuild_differences",
+    _profile_differences,
+    f"SELECT *, 'right' AS side, cast(1 AS bigint) AS extra FROM ({INFO_ALL}) WHERE user_id = {NEWEST_INFO} UNION ALL SELECT * REPLACE ('old ' || full_name AS full_name), 'left', 1 FROM ({INFO_ALL}) WHERE user_id = {NEWEST_INFO}",
+)
+BULK_AND_REBUILD = {
+    "user": (f"SELECT * FROM ({o.user_sql(o.USER_HIT)}) UNION ALL SELECT * FROM ({o.user_sql(f'SELECT * FROM ({o.USER_FILLED}) WHERE id IN (SELECT id FROM st_user WHERE {o.USER_MISS})')})", o.user_sql(f"SELECT * FROM ({o.USER_FILLED}) WHERE {has('mobile_token')}")),
+    "user_bankcard": (o.card_sql(f"SELECT * FROM ({o.CARD_FILLED}) WHERE {has('bank_account_token')}"),) * 2,
+    "user_product": (o.PRODUCT, o.PRODUCT),
+    "application": (
+        f"SELECT * FROM ({o.app_sql(o.APP_HIT)}) UNION ALL SELECT * FROM ({o.app_sql(f'SELECT * FROM ({o.APP_FILLED}) WHERE was_miss AND {o.APP_READY}')})",
+        o.app_sql(f"SELECT * FROM ({o.APP_FILLED}) WHERE {o.APP_READY}"),
+    ),
+    "loan": (o.loan_sql(), o.loan_sql()),
+}
+add(
+    "v1_rebuild_summary",
+    _rebuild_summary,
+    "SELECT *, CASE WHEN only_left + only_right = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS tbl, (SELECT count(*) FROM ((SELECT * FROM ({a})) EXCEPT ALL (SELECT * FROM ({b})))) AS only_left, (SELECT count(*) FROM ((SELECT * FROM ({b})) EXCEPT ALL (SELECT * FROM ({a})))) AS only_right"
+        for name, (a, b) in BULK_AND_REBUILD.items()
+    )
+    + ")",
+)
 add("v2_sink_filtered_count", lambda c: verify.sink_filtered_count(verify.incremental_bundle(c.src)), f"SELECT count(*) AS sink_filtered_cnt FROM bundle WHERE {has('bvn_raw')} AND {none('id_number_token')}")
 HINT = f"CASE WHEN {none('b.bvn_raw')} THEN 'ok_no_bvn' WHEN {has('b.id_number_token')} THEN 'ok_token' ELSE 'sink_filtered' END"
 LAST_QUEUED = "SELECT q.* FROM src_user_info_dirty q JOIN src_user u ON u.id = q.user_id ORDER BY updated_at DESC, user_id DESC LIMIT 20"
@@ -791,6 +909,80 @@ add(
 )
 
 
+class Loaded:
+    """All seven outputs written in their phases, with the counts that the writes took."""
+
+    def __init__(self, c: Context):
+        folder, self.spark, self.tables, self.counted = Workspace(c.spark).folder, c.spark, {}, []
+        phased = {"user": outputs.user_output, "user_info": outputs.user_info_output, "user_bankcard": outputs.bankcard_rows, "application": outputs.application_output}
+        single = {"user_product": outputs.product_output, "loan": outputs.loan_output, "id_mapping": outputs.id_mapping_output}
+        for name in TARGET_KEYS:
+            self.tables[name] = KeyedTable(c.spark, f"{folder}/{name}", TARGET_KEYS[name])
+            phases = [lambda phase=phase: phased[name](c.src, phase, HASH) for phase in ("hit", "miss")] if name in phased else [lambda: single[name](c.src)]
+            for batch, make in enumerate(phases):
+                rows = RowsWritten()
+                self.tables[name].upsert(rows.watch(make()), batch)
+                self.counted.append((name, batch, rows.count))
+
+    def counts(self, phases: int) -> DataFrame:
+        """Rows written per output, by its first phase alone or by all."""
+        totals = {name: sum(n for tbl, batch, n in self.counted if tbl == name and batch < phases) for name in TARGET_KEYS}
+        return self.spark.createDataFrame(list(totals.items()), "tbl string, actual_cnt bigint")
+
+    def stored(self) -> dict[str, DataFrame]:
+        return {name: table.read() for name, table in self.tables.items()}
+
+
+def _count_check_all(c: Context) -> DataFrame:
+    loaded = Loaded(c)
+    return verify.count_check(loaded.counts(1).withColumnRenamed("actual_cnt", "expected_cnt"), verify.table_counts(loaded.stored(), "actual_cnt"))
+
+
+def _progress_written(c: Context) -> DataFrame:
+    loaded = Loaded(c)
+    return verify.sync_progress(loaded.counts(1), loaded.counts(2), verify.table_counts(loaded.stored(), "expected_cnt"), 30.0)
+
+
+OUTPUT_COUNTS = {
+    "user": (o.user_sql(o.USER_HIT), BULK_AND_REBUILD["user"][0]),
+    "user_info": (o.info_sql(o.INFO_HIT), o.info_sql(o.INFO_FILLED)),
+    "user_bankcard": (o.card_sql(o.CARD_HIT), BULK_AND_REBUILD["user_bankcard"][0]),
+    "user_product": (o.PRODUCT, o.PRODUCT),
+    "application": (o.app_sql(o.APP_HIT), BULK_AND_REBUILD["application"][0]),
+    "loan": (o.loan_sql(), o.loan_sql()),
+    "id_mapping": (o.KEYED_EDGES, o.KEYED_EDGES),
+}
+HIT_N, ALL_N = [" UNION ALL ".join(f"SELECT '{name}' AS tbl, count(*) AS n FROM ({both[at]})" for name, both in OUTPUT_COUNTS.items()) for at in (0, 1)]
+add(
+    "v6_count_check_all",
+    _count_check_all,
+    f"SELECT e.tbl, e.n AS wanted_cnt, a.n AS actual_cnt, a.n - e.n AS diff, CASE WHEN a.n - e.n BETWEEN -10 AND 100 AND e.n > 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM ({HIT_N}) e JOIN ({ALL_N}) a ON a.tbl = e.tbl",
+)
+add(
+    "v8_progress_written",
+    _progress_written,
+    f"SELECT a.tbl, a.n AS expected_cnt, a.n AS actual_cnt, a.n - e.n AS delta, 100.0::double AS percent, round((a.n - e.n) * 60.0 / 30, 1)::double AS rate_per_min FROM ({HIT_N}) e JOIN ({ALL_N}) a ON a.tbl = e.tbl",
+)
+
+
+def _progress(c: Context) -> DataFrame:
+    """A run over the dictionary that took half a minute, told from the counts that its two writes took."""
+    work = Workspace(c.spark)
+    found, ended = [CountsWritten("vt_type", KIND.values(), counts) for counts in (found_counts(), ended_counts())]
+    seeded = work.keep(found.watch(c.dictionary))
+    work.keep(ended.watch(preload(seeded, HashTokenizer())))
+    return progress_stats(summary_of(found.rows(c.spark), ended.rows(c.spark)), 30.0)
+
+
+add(
+    "t9_progress_stats",
+    _progress,
+    f"SELECT b.vt_type, work, ok_rows, with_token, failed_rows, remaining, claimed, work - remaining AS done, CASE WHEN work > 0 THEN round((work - remaining) * 100.0 / work, 1) ELSE 0.0 END::double AS percent, CASE WHEN failed_rows > 0 OR (ok_rows > 0 AND with_token = 0) THEN 'FAILED' ELSE 'DONE' END AS state, "
+    f"round((work - remaining) * 60.0 / 30, 1)::double AS rate_per_min FROM (SELECT vt_type, count(*) FILTER ({GAP}) AS work FROM dictionary GROUP BY 1) b JOIN (SELECT vt_type, count(*) FILTER (status = 1) AS ok_rows, count(*) FILTER (status = 1 AND {has('token')}) AS with_token, "
+    f"count(*) FILTER (status = 2) AS failed_rows, count(*) FILTER ({GAP}) AS remaining, count(*) FILTER (status = 9) AS claimed FROM ({PRELOADED}) GROUP BY 1) a ON a.vt_type = b.vt_type",
+)
+
+
 def _diagnostics(c: Context) -> DataFrame:
     """The counting diagnostics of the dictionary as one list."""
     d = c.dictionary

@@ -210,3 +210,8 @@ def test_jobs_from_seed_to_change_stream(spark, tables, tmp_path):
     jobs.bulk(spark, src, target, jobs.make_tokenizer("tests.test_writes:OwnTokenizer"), ("user",))
     assert rows(KeyedTable(spark, f"{target}/user", TARGET_KEYS["user"]).read()) == loaded
     assert {r.tbl for r in jobs.check(src).collect()} == {"user", "user_info", "user_bankcard", "application"}
+    progress = {r.tbl: r for r in jobs.load_progress(spark, target).collect()}
+    assert set(progress) == {"user", "user_product"} and progress["user"].written == len(loaded)
+    verdicts = jobs.compare_targets(spark, src, target, HASH)
+    assert rows(verdicts) == [("user", 0, 0, "PASS"), ("user_product", 0, 0, "PASS")]
+    assert rows(jobs.count_targets(spark, src, target).select("tbl", "result"))[0][0] == "user"

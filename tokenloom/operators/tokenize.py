@@ -237,21 +237,37 @@ def preload(
     return upsert_dict(marked, results)
 
 
+def found_counts() -> dict[str, Column]:
+    """What is counted of a dictionary before a run."""
+    return {"work": (F.col("status") == PENDING) & claimable(), "rows": F.lit(True)}
+
+
+def ended_counts() -> dict[str, Column]:
+    """What is counted of a dictionary after a run."""
+    ok = F.col("status") == OK
+    return {
+        "ok_rows": ok,
+        "with_token": ok & has_text("token"),
+        "failed_rows": F.col("status") == FAILED,
+        "remaining": (F.col("status") == PENDING) & claimable(),
+        "claimed": F.col("status") == CLAIMED,
+    }
+
+
 def preload_summary(before: DataFrame, after: DataFrame) -> DataFrame:
     """Per kind: work found, done, failed, remaining, percent, and the final state. A kind fails
     if a value failed, or if rows are marked good without holding a token."""
 
-    def count_if(condition: Column) -> Column:
-        return F.count(F.when(condition, 1))
+    def counted(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+        return df.groupBy("vt_type").agg(*[F.count(F.when(condition, 1)).alias(name) for name, condition in counts.items()])
 
-    found = before.groupBy("vt_type").agg(count_if((F.col("status") == PENDING) & claimable()).alias("work"))
-    ended = after.groupBy("vt_type").agg(
-        count_if(F.col("status") == OK).alias("ok_rows"),
-        count_if((F.col("status") == OK) & has_text("token")).alias("with_token"),
-        count_if(F.col("status") == FAILED).alias("failed_rows"),
-        count_if((F.col("status") == PENDING) & claimable()).alias("remaining"),
-        count_if((F.col("status") == CLAIMED)).alias("claimed"),
-    )
+    return summary_of(counted(before, found_counts()), counted(after, ended_counts()))
+
+
+def summary_of(found: DataFrame, ended: DataFrame) -> DataFrame:
+    """The summary from counts per kind, however they were taken."""
+    found = found.filter("rows > 0").drop("rows")
+    ended = ended.join(found.select("vt_type"), "vt_type", "left_semi")
     done = F.col("work") - F.col("remaining")
     lost = (F.col("ok_rows") > 0) & (F.col("with_token") == 0)
     return (

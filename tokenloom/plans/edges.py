@@ -74,8 +74,10 @@ def linked_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False
     return user_pairs(sources, settings, every_time).unionByName(device_pairs(sources, settings, every_time))
 
 
-def user_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False) -> DataFrame:
-    """What the users state with their orders, registrations and cards."""
+def user_pairs(
+    sources, settings: Settings = DEFAULT, every_time: bool = False, stated_by: tuple[str, ...] = ("order", "user", "card")
+) -> DataFrame:
+    """What the users state with their orders, registrations and cards, or with some of these."""
     one, dictionary = F.lit(1).cast("bigint"), sources["vt_token_cache"]
     stated = ["user_id", "app_code", "at", "n", "source", "card_token"]
     orders = _reduced(sources["user_order"].filter(has_order_no()), ["user_id", "app_code"], "order_time", every_time)
@@ -87,7 +89,8 @@ def user_pairs(sources, settings: Settings = DEFAULT, every_time: bool = False)
     cards = assemble_bankcard(sources).filter(has_text("bank_account_token"))
     cards = cards.groupBy("user_id", F.col("bank_account_token").alias("card_token")).agg(F.count(one).alias("n"))
     cards = people.join(cards, "user_id", "inner").withColumns({"at": F.col("update_time"), "source": F.lit("card")})
-    statements = reduce(DataFrame.unionByName, [df.select(*stated) for df in (orders, users, cards)])
+    kinds = {"order": orders, "user": users, "card": cards}
+    statements = reduce(DataFrame.unionByName, [kinds[kind].select(*stated) for kind in stated_by])
 
     profile = profile_latest(sources["user_personal_info"]).select("user_id", F.trim("bvn").alias("latest_bvn"))
     profile = join_token(profile.filter(has_text("latest_bvn")), dictionary, VT_TYPES["id_number"], "latest_bvn", "latest_id_token", "user_id")
@@ -139,11 +142,15 @@ def _directions(first: Column, second: Column) -> Column:
 
 def edge_rows(sources, settings: Settings = DEFAULT) -> DataFrame:
     """Every directed edge as stated by the source rows, equal ones counted in ``n``."""
+    return stated_edges(linked_pairs(sources, settings, every_time=True))
+
+
+def stated_edges(pairs: DataFrame) -> DataFrame:
+    """Both directions of pairs that keep all their times."""
 
     def end(x: str, y: str) -> Column:
         return F.struct(F.col(x).alias("id"), F.col(y).alias("mapping_id"), F.col(f"{x}_rank").alias("rank"))
 
-    pairs = linked_pairs(sources, settings, every_time=True)
     rows = pairs.select("app_id", "t", "n", _directions(end("a", "b"), end("b", "a")))
     keys = [F.col("edge.id"), F.col("app_id"), F.col("edge.mapping_id"), F.col("edge.rank"), F.col("t")]
     counted = rows.groupBy(*keys).agg(F.sum("n").alias("n"))

@@ -73,8 +73,9 @@ def kafka_options(servers: str, topics: list[str], mode: str, start_ms: int | No
 
 def debezium_changes(records: DataFrame, zone: str = "Africa/Lagos") -> DataFrame:
     """Debezium JSON in ``value`` to change rows; snapshot reads count as inserts."""
+    sent = IMAGE_STRUCT.replace("timestamp_ntz", "string")
     payload = (
-        f"struct<op:string,ts_ms:bigint,before:{IMAGE_STRUCT},after:{IMAGE_STRUCT},"
+        f"struct<op:string,ts_ms:bigint,before:{sent},after:{sent},"
         "source:struct<table:string,pos:bigint>>"
     )
     body = F.from_json(F.col("value").cast("string"), f"payload {payload}")["payload"]
@@ -84,8 +85,35 @@ def debezium_changes(records: DataFrame, zone: str = "Africa/Lagos") -> DataFram
         F.when(F.col("p.op") == "r", "c").otherwise(F.col("p.op")).alias("op"),
         start_time(F.col("p.ts_ms"), zone).alias("ts"),
         F.col("p.source.pos").alias("position"),
-        F.col("p.before").alias("before"),
-        F.col("p.after").alias("after"),
+        _image("p.before", zone).alias("before"),
+        _image("p.after", zone).alias("after"),
+    )
+
+
+def _image(sent: str, zone: str) -> Column:
+    """A row image with its times read; no image stays NULL."""
+    values = [
+        sent_time(F.col(f"{sent}.{f.name}"), zone) if f.dataType.typeName() == "timestamp_ntz" else F.col(f"{sent}.{f.name}")
+        for f in StructType.fromDDL(IMAGE)
+    ]
+    named = F.struct(*[value.cast(f.dataType).alias(f.name) for f, value in zip(StructType.fromDDL(IMAGE), values)])
+    return F.when(F.col(sent).isNotNull(), named)
+
+
+def sent_time(value: Column, zone: str) -> Column:
+    """The wall-clock time that Debezium sends in one of its forms: a number is milliseconds, microseconds (from 15 digits on) or nanoseconds
+    (from 18 on) of a clock without zone; text that ends in a zone is that moment, shown in ``zone``; other text is taken as it stands.
+    What is none of these is NULL."""
+    digits, text = F.char_length(F.ltrim(value, F.lit("-"))), F.trim(value)
+    micros = F.when(digits >= 18, F.try_divide(value.try_cast("decimal(20,0)"), F.lit(1000)))
+    micros = micros.when(digits >= 15, value.try_cast("decimal(20,0)")).otherwise(value.try_cast("decimal(20,0)") * 1000)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    counted = epoch + F.make_dt_interval(secs=F.try_divide(F.floor(micros), F.lit(1_000_000)).cast("decimal(18,6)"))
+    moment = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.to_utc_timestamp(text.try_cast("timestamp"), F.current_timezone()).cast("timestamp_ntz"))
+    return (
+        F.when(value.rlike("^-?[0-9]+$"), counted)
+        .when(text.rlike("([Zz]|[+-][0-9]{2}:?[0-9]{2})$") & text.contains(":"), moment)
+        .otherwise(text.try_cast("timestamp_ntz"))
     )
 
 

@@ -12,36 +12,54 @@ from pyspark.sql.utils import AnalysisException
 from tokenloom.functions.ids import IdLayout, free_start_ms
 from tokenloom.operators.latest import latest_by
 from tokenloom.operators.upsert import assert_unique
-from tokenloom.settings import delete_folder
+from tokenloom.settings import delete_folder, exists
 from tokenloom.sources.starts import load_start, record_start
 
 
 def materialize(df: DataFrame, path: str, pk: list[str]) -> DataFrame:
     """Replaces a table by a query result whose key must be unique and not NULL. The result is written
     beside the table and checked there; only a good one takes the table's place."""
-    spark, made = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, path.rstrip("/")
+    settle(spark, path)
+    made = f"{path}.new-{uuid.uuid4().hex}"
     df.write.parquet(made)
     try:
         assert_unique(spark.read.parquet(made), pk)
     except Exception:
         delete_folder(spark, made)
         raise
-    move_over(spark, made, path)
+    rename(spark, made, f"{path}.next")  # from here on it is the table
+    settle(spark, path)
     return spark.read.parquet(path)
 
 
-def move_over(spark: SparkSession, made: str, path: str) -> None:
-    """A folder in the place of another. The old one is set aside until the new one is there."""
+def settle(spark: SparkSession, path: str) -> None:
+    """Finishes a replacement of ``path`` that was begun, wherever it stopped. Only the writer of a table does this.
+
+    The next table waits under a name of its own until the one before is set aside, so at every moment a complete table is under
+    one of the two names.
+    """
+    following, previous = f"{path}.next", f"{path}.previous"
+    if exists(spark, following):
+        if exists(spark, path):
+            delete_folder(spark, previous)
+            rename(spark, path, previous)
+        rename(spark, following, path)
+    if exists(spark, path):
+        delete_folder(spark, previous)
+
+
+def standing(spark: SparkSession, path: str) -> str | None:
+    """The folder a reader finds the table of ``materialize`` in, also between the two moves; None if there never was one."""
+    path = path.rstrip("/")
+    return next((folder for folder in (path, f"{path}.next") if exists(spark, folder)), None)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    source, target, aside = jvm_path(made), jvm_path(path), jvm_path(f"{made}.old")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.rename(target, aside)
-    else:
-        files.mkdirs(target.getParent())
-    if not files.rename(source, target):
-        raise OSError(f"{made} could not be moved to {path}")
-    files.delete(aside, True)
+    files = jvm_path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.rename(jvm_path(source), jvm_path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
 
 
 class KeyedTable:
@@ -77,11 +95,12 @@ class KeyedTable:
         kept = f"{self.root}/_ids/{batch_id + self.first_batch}"
         found = load_start(self.spark, kept)
         if found is None:
-            wanted, earlier = int(time.time() * 1000), self._every()
+            wanted, earlier = int(time.time() * 1000), self.history()
             found = record_start(self.spark, kept, wanted if earlier is None else free_start_ms(earlier, wanted, layout))
         return found
 
-    def _every(self, before: int | None = None) -> DataFrame | None:
+    def history(self, before: int | None = None) -> DataFrame | None:
+        """Every row ever written, marks of deleted keys among them, or None before the first write."""
         try:
             every = self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(self.root)
         except AnalysisException:
@@ -105,7 +124,7 @@ class KeyedTable:
         """Current rows, or None before the first write; ``before`` leaves out that batch and all
         later ones, which is how things stood when it began. With ``keys`` (all or some columns of the key) only their rows are
         looked at: the history is cut to them before anything is grouped."""
-        every = self._every(before)
+        every = self.history(before)
         if every is None:
             return None
         if keys is not None:

@@ -147,8 +147,8 @@ def rebuild_rows(output: str, keys: DataFrame, sources: Sources, tokenizer: Toke
     return rebuild_scope(output, keep(scope_of(output, keys, sources)), sources, tokenizer, settings, keep)
 
 
-def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Stored keys within a scope that its rebuild no longer gives."""
+def keys_in_scope(output: str, target: DataFrame, scope: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """The keys of those rows of ``target`` that lie within a scope."""
     pk, offset = TARGET_KEYS[output], settings.id_offset
     # an order number stands between the fixed ends of a loan number
     order_no = F.substr(F.col("loan_no"), F.lit(4), F.char_length("loan_no") - 9) if output == "loan" else None
@@ -162,8 +162,22 @@ def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFra
     }[output]()
     named = target.select(*pk, *[column.alias(f"scope_{name}") for name, column in stored.items()])
     wanted = scope.select(*[F.col(name).alias(f"scope_{name}") for name in stored])
-    covered = named.join(wanted, wanted.columns, "left_semi").select(*pk)
-    return covered.join(rebuilt.select(*pk), pk, "left_anti")
+    return named.join(wanted, wanted.columns, "left_semi").select(*pk)
+
+
+def gone_rows(output: str, target: DataFrame, rebuilt: DataFrame, scope: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Stored keys within a scope that its rebuild no longer gives."""
+    pk = TARGET_KEYS[output]
+    return keys_in_scope(output, target, scope, settings).join(rebuilt.select(*pk), pk, "left_anti")
+
+
+def stored_for(output: str, table: KeyedTable, before: int, scope: DataFrame, keep: Keep, settings: Settings = DEFAULT) -> DataFrame | None:
+    """The stored rows of all keys that ever had a row within a scope. The history gives these keys from the few columns that name them; only
+    their rows are read whole and grouped. A key whose newest row left the scope is among them, so no older row of it comes back."""
+    history = table.history(before)
+    if history is None:
+        return None
+    return table.read(before=before, keys=keep(keys_in_scope(output, history, scope, settings).distinct()))
 
 
 class RebuildJob:
@@ -199,8 +213,8 @@ class RebuildJob:
             rows = keep(rows)
             known = self.target.read(before=batch_id, keys=rows.select(*TARGET_KEYS["user_bankcard"]))
             rows = self._with_ids(rows, known, batch_id)
-        stored = self.target.read(before=batch_id) if self.propagate_deletes else None
-        if stored is None or not self.propagate_deletes:
+        stored = stored_for(self.output, self.target, batch_id, scope, keep, self.settings) if self.propagate_deletes else None
+        if stored is None:
             self.target.upsert(rows, batch_id)
             return
         rows = keep(rows)
