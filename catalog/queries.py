@@ -33,7 +33,7 @@ from tokenloom.operators.tokenize import (
 )
 from tokenloom.plans import assemble, digests, edges, outputs, verify
 from tokenloom.settings import Workspace
-from tokenloom.sources.changes import change_image
+from tokenloom.sources.changes import change_image, select_changes
 from tokenloom.sources.fixtures import fixture_changes, fixture_sources
 from tokenloom.sources.keyed import keyed_sources, only, write_keyed
 from tokenloom.sources.observed import CountsWritten, RowsWritten
@@ -153,12 +153,11 @@ def _chained(runs: list[Callable[[int], DataFrame]]) -> DataFrame:
     return done
 
 
-# few tasks, so that each uses up several milliseconds
 add(
     "f24_snowflake_id",
     lambda c: _id_facts(
         _chained(
-            [lambda start: with_snowflake_ids(c.src["user_bank_info"].select(F.col("id").alias("card_id")), ["card_id"], start, partitions=2).select("id")] * 2
+            [lambda start: with_snowflake_ids(c.src["user_bank_info"].select(F.col("id").alias("card_id")), ["card_id"], start).select("id")] * 2
         ),
         ID_START,
     ),
@@ -210,6 +209,16 @@ add(
     f"SELECT 'loan' AS target, 'due_date' AS \"column\", 'not_null' AS rule, count(*) AS cnt FROM ({o.loan_sql()}) WHERE due_date IS NULL UNION ALL "
     f"SELECT 'loan', 'due_date_final', 'not_null', count(*) FROM ({o.loan_sql()}) WHERE due_date IS NULL",
 )
+add(
+    "p12_quarantine_loan",
+    lambda c: conform.split_conformed(outputs.loan_output(c.src), "loan")[1].select("application_no", "period", "roll_sequence", "broken_rules"),
+    f"SELECT application_no, period, roll_sequence, ['due_date.not_null', 'due_date_final.not_null'] AS broken_rules FROM ({o.loan_sql()}) WHERE due_date IS NULL",
+)
+add(
+    "p12_conformed_loan",
+    lambda c: conform.split_conformed(outputs.loan_output(c.src), "loan")[0].select("application_no", "period", "roll_sequence", "due_date"),
+    f"SELECT application_no, period, roll_sequence, due_date FROM ({o.loan_sql()}) WHERE due_date IS NOT NULL",
+)
 add(
     "p12_conform_application",
     lambda c: conform.conform(outputs.application_output(c.src), "application"),
@@ -629,6 +638,24 @@ ORDER_KEYS = f"""{ORDER_CHANGED} UNION SELECT user_order_id FROM src_user_order_
  UNION SELECT s.id FROM src_user_order s JOIN src_user_repay r ON r.order_no = s.order_no WHERE r.status = 2 AND r.callback_time IS NOT NULL AND {has('r.order_no')}
  UNION SELECT s.id FROM src_user_order s JOIN src_user_bank_info b ON b.user_id = s.user_id WHERE b.deleted = 0 AND b.is_default = 0"""
 CARD_OWNERS = "SELECT user_id FROM src_user_bank_info WHERE deleted = 0 AND is_default = 0"
+SINCE_MS = 803_347_200_000  # the middle of the orders
+add(
+    "s2_changes_since",
+    lambda c: select_changes(order_changes(c), ["user_order", "user_repay"], "timestamp", SINCE_MS, ZONE).select("source_table", "op", "ts", F.col("after.id").alias("id"), F.col("after.order_no").alias("order_no")),
+    f"SELECT 'user_order' AS source_table, 'u' AS op, disburse_time AS ts, id, order_no FROM src_user_order WHERE disburse_time IS NOT NULL AND settled_time IS NULL AND {ms('disburse_time')} >= {SINCE_MS} "
+    f"UNION ALL SELECT 'user_repay', 'c', callback_time, NULL, order_no FROM src_user_repay WHERE status = 2 AND callback_time IS NOT NULL AND {ms('callback_time')} >= {SINCE_MS}",
+)
+TRIGGER_S = 3600
+add(
+    "r3_coalesced_rebuilds",
+    lambda c: triggers.coalesced("user_bankcard", order_changes(c).unionByName(order_changes(c)), c.src, TRIGGER_S),
+    f"SELECT (epoch_us(timestamp '2024-03-01 00:00:00') // 1000000 // {TRIGGER_S}) AS trigger_no, user_id, cast(2 * count(*) AS bigint) AS changes FROM ({CARD_OWNERS}) GROUP BY user_id",
+)
+add(
+    "r6_changes_after_handoff",
+    lambda c: triggers.coalesced("user_product", select_changes(order_changes(c), None, "timestamp", SINCE_MS, ZONE), c.src, TRIGGER_S),
+    f"SELECT epoch_us(disburse_time) // 1000000 // {TRIGGER_S} AS trigger_no, user_id, product_id, count(*) AS changes FROM src_user_order WHERE id IN ({ORDER_CHANGED}) AND {has('product_id')} AND {ms('disburse_time')} >= {SINCE_MS} GROUP BY ALL",
+)
 add("r1_trigger_loan", lambda c: triggers.trigger_keys("loan", order_changes(c), c.src), f"SELECT id AS installment_id FROM ({LOAN_KEYS})")
 add("r1_trigger_product", lambda c: triggers.trigger_keys("user_product", order_changes(c), c.src), f"SELECT DISTINCT user_id, product_id FROM src_user_order WHERE id IN ({ORDER_CHANGED}) AND {has('product_id')}")
 add("r1_trigger_bankcard", lambda c: triggers.trigger_keys("user_bankcard", order_changes(c), c.src), "SELECT id AS bank_id FROM src_user_bank_info WHERE deleted = 0 AND is_default = 0")
@@ -661,9 +688,9 @@ add(
     lambda c: _id_facts(
         _chained(
             [
-                lambda start: outputs.bankcard_output(c.src, start, "hit", partitions=2).select("id"),
-                lambda start: outputs.bankcard_output(c.src, start, "miss", HASH, partitions=2).select("id"),
-                lambda start: with_snowflake_ids(outputs.bankcard_rows(c.src, "all", HASH), ["group_user_id", "bank_account_number"], start, partitions=2).select("id"),
+                lambda start: outputs.bankcard_output(c.src, start, "hit").select("id"),
+                lambda start: outputs.bankcard_output(c.src, start, "miss", HASH).select("id"),
+                lambda start: with_snowflake_ids(outputs.bankcard_rows(c.src, "all", HASH), ["group_user_id", "bank_account_number"], start).select("id"),
             ]
         ),
         ID_START,

@@ -133,3 +133,27 @@ def test_deletes_look_at_the_keys_of_their_scope(spark, tmp_path):
         plan = stored._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate" in plan and "LeftSemi" in plan[plan.index("Aggregate"):]
     assert rebuild.stored_for("user", KeyedTable(spark, f"{tmp_path}/none", TARGET_KEYS["user"]), 2, scope, None) is None
+
+
+def test_refused_rows_name_their_rules(spark):
+    from tokenloom.operators import conform
+
+    schema = "user_id bigint, id_number string, full_name string, password string, live_image string, id_card string, info string"
+    data = [(1, "a", "n", "", "", "", "{}"), (-2, "x" * 29, "n", None, "", "", "{}"), (None, None, None, None, None, None, None)]
+    kept, refused = conform.split_conformed(spark.createDataFrame(data, schema), "user_info")
+    assert [r.user_id for r in kept.collect()] == [1]
+    found = {r.user_id: r.broken_rules for r in refused.collect()}
+    assert found == {-2: ["user_id.unsigned", "id_number.max_chars_28"], None: ["user_id.not_null", "info.not_null"]}
+    assert kept.columns + ["broken_rules"] == refused.columns
+    empty = conform.split_conformed(spark.createDataFrame([], schema), "user_info")
+    assert [df.count() for df in empty] == [0, 0]
+
+
+def test_changes_of_one_trigger_are_one_rebuild(spark):
+    from tests.test_streams import log
+    from tokenloom.streaming.triggers import coalesced
+
+    card = lambda at, owner: ("user_bank_info", "u", at, {"id": 1, "user_id": owner}, {"id": 1, "user_id": owner})
+    changes = log(spark, card(0, 7), card(1, 7), card(1, 8), card(30, 7), ("user_bank_info", "d", 1, {"id": 2, "user_id": 8}, None), card(2, None))
+    found = rows(coalesced("user_bankcard", changes, None, 10).select("user_id", "changes"))
+    assert found == [(7, 1), (7, 2), (8, 2)]

@@ -41,6 +41,33 @@ def _broken(field: Field) -> dict[str, Column]:
     return rules
 
 
+def _rules(target: str) -> list[tuple[str, Column]]:
+    """Every rule of a target table by name, in the order of its columns."""
+    return [(f"{f.name}.{rule}", broken) for f in TARGETS[target] for rule, broken in _broken(f).items()]
+
+
+def with_rule_bits(df: DataFrame, target: str) -> DataFrame:
+    """Conformed rows with ``rule_bits``: for each rule in order '1' if the row breaks it, else '0'. All rules in one pass."""
+    bits = [F.when(broken, "1").otherwise("0") for _, broken in _rules(target)]
+    return conform(df, target).withColumn("rule_bits", F.concat(*bits))
+
+
+def split_conformed(df: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that the target takes, and those it would refuse with the names of the rules they break (``broken_rules``).
+
+    Both are filters over the same bits. Write the rows once with ``with_rule_bits`` and split what was written where making them is dear.
+    """
+    return split_bits(with_rule_bits(df, target), target)
+
+
+def split_bits(marked: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+    names = [name for name, _ in _rules(target)]
+    numbered = F.array(*[F.when(F.substr("rule_bits", F.lit(at + 1), F.lit(1)) == "1", F.lit(name)) for at, name in enumerate(names)])
+    kept = marked.filter(~F.contains("rule_bits", F.lit("1"))).drop("rule_bits")
+    refused = marked.filter(F.contains("rule_bits", F.lit("1"))).withColumn("broken_rules", F.array_compact(numbered)).drop("rule_bits")
+    return kept, refused
+
+
 def violations(df: DataFrame, target: str) -> DataFrame:
     """How many rows break which rule of which column, from one pass over conformed rows."""
     rules = [(f.name, rule, broken) for f in TARGETS[target] for rule, broken in _broken(f).items()]

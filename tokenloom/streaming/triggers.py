@@ -112,6 +112,9 @@ def loan_keys(changes: DataFrame, sources) -> DataFrame:
     return _union([own, by_order, by_payment], ["installment_id"])
 
 
+# Outputs whose scope stands in the changed rows of one table.
+IN_IMAGE = {"user_bankcard": ("user_bank_info", ["user_id"]), "user_product": ("user_order", ["user_id", "product_id"])}
+
 TRIGGER_KEYS = {
     "user": user_keys,
     "user_bankcard": bankcard_keys,
@@ -121,5 +124,19 @@ TRIGGER_KEYS = {
 }
 
 
+def coalesced(output: str, changes: DataFrame, sources, trigger_s: int) -> DataFrame:
+    """What a stream that runs every ``trigger_s`` seconds would rebuild, told from a log of changes: one row per trigger and scope key of an output
+    whose keys stand in the row images, with the number of changes it stands for. Equal keys of a trigger cost one rebuild."""
+    table, columns = IN_IMAGE[output]
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    number = F.floor(F.timestamp_diff("SECOND", epoch, F.col("ts")) / F.lit(trigger_s)).cast("bigint")
+    image = F.coalesce(F.col("after"), F.col("before"))
+    keys = [image[c].alias(c) for c in columns]
+    rows = changes.filter(F.col("source_table") == table).select(number.alias("trigger_no"), *keys).dropna(subset=columns)
+    if "product_id" in columns:
+        rows = rows.filter(has_text("product_id"))
+    return rows.groupBy("trigger_no", *columns).agg(F.count(F.lit(1)).alias("changes"))
+
+
 def trigger_keys(output: str, changes: DataFrame, sources) -> DataFrame:
     return TRIGGER_KEYS[output](changes, sources)
