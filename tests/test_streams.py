@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tokenloom.functions.times import epoch_ms
 from tokenloom.operators.tokenize import HashTokenizer
 from tokenloom.plans import outputs
 from tokenloom.sources import changes as feed
@@ -73,14 +74,40 @@ def fold(entries):
 
 
 def test_debounce_of_a_hot_user_is_spread(spark):
-    """One user holds most events: its runs are folded apart, and give what one long fold gives."""
+    """One user holds most events, over many blocks of time: no task has them all, and no Python runs."""
     dice = random.Random(4)
     entries, second = [], 0
-    for _ in range(3000):
+    for _ in range(6000):
         second += dice.choice([1, 2, 3, 30])
         entries.append((1 if dice.random() < 0.8 else dice.randrange(2, 9), second, dice.choice([5, 10, 20])))
+    found = events(spark, [(*e, None) for e in entries])
+    assert sorted(map(tuple, deb.debounce(found).collect())) == fold(entries)
+    placed = found.select("user_id", epoch_ms("ts", "UTC").alias("ms"), F.lit(5000).cast("bigint").alias("wait"), F.lit(False).alias("stored"))
+    marked = deb._with_begins(placed, 20_000, deb.BLOCK_MS)
+    held = marked.filter("user_id = 1").groupBy("block").count().collect()
+    assert len(held) > 10 and max(r["count"] for r in held) < 1000
+    plan = marked._jdf.queryExecution().toString()
+    assert "hashpartitioning(user_id" in plan and "block" in plan and "Python" not in plan and "InPandas" not in plan
+
+
+def test_debounce_follows_chains_without_a_rest(spark):
+    """Runs that never rest, longer than a block, with waits that change and moments that repeat, next to a stored stamp."""
+    dice = random.Random(9)
+    entries = [(1, k * 4, dice.choice([5, 30, 60])) for k in range(2500)]
+    entries += [(2, dice.randrange(9000), dice.choice([1, 10, 3600])) for _ in range(1500)]
+    entries += [(3, k * 1800, 3600) for k in range(40)] + [(4, k * 3599, 3600) for k in range(9)]
     got = deb.debounce(events(spark, [(*e, None) for e in entries]))
     assert sorted(map(tuple, got.collect())) == fold(entries)
+    queue = spark.createDataFrame([(1, at(50)), (2, at(4000)), (9, at(0))], "user_id bigint, updated_at timestamp_ntz")
+    stamped = sorted([(*e, False) for e in entries] + [(1, 50, 0, True), (2, 4000, 0, True)], key=lambda e: (e[0], e[1], not e[3]))
+    last, expected = {}, []
+    for user, second, wait, stored in stamped:
+        if stored or user not in last or second - last[user] >= wait:
+            last[user] = second
+            expected += [] if stored else [(user, at(second))]
+    got = deb.debounce(events(spark, [(*e, None) for e in entries]), queue)
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    assert deb.debounce(events(spark, [(*e, None) for e in entries]).limit(0)).count() == 0
 
 
 def test_enqueue_rules(spark, src):

@@ -1,20 +1,22 @@
 """Letting a user through again only after a rest.
 
 An event passes if its user was never stamped, or was last stamped at least ``wait_s`` seconds
-before; it then becomes the stamp. Events that do not pass are dropped, not delayed.
+before; it then becomes the stamp. Events that do not pass are dropped, not delayed. Times count in milliseconds, a
+wait is at least one; events of a user at one moment are one, with the shortest of their waits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.times import epoch_ms
+from tokenloom.settings import checkpointed
 
-PASSED_SCHEMA = "user_id bigint, ts timestamp_ntz"
+#: A user's events are looked at in stretches of at least this long, so no task holds more of one user.
+BLOCK_MS = 3_600_000
 
 
 def _to_ms(df: DataFrame) -> DataFrame:
@@ -27,46 +29,74 @@ def _from_ms(column: str):
     return whole + F.make_dt_interval(secs=(F.col(column) / F.lit(1000).cast("decimal(4,0)")).cast("decimal(18,6)"))
 
 
-def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come ordered by user, run and time; only the run at hand is remembered."""
-    run, last = None, None
-    for frame in frames:
-        passed = []
-        rows = zip(frame["user_id"].tolist(), frame["run"].tolist(), frame["ms"].tolist(), frame["wait_s"].tolist(), frame["stored"].tolist())
-        for at, (user_id, number, ms, wait_s, stored) in enumerate(rows):
-            if (user_id, number) != run:
-                run, last = (user_id, number), None
-            if stored:
-                last = ms
-            elif last is None or ms - last >= wait_s * 1000:
-                last = ms
-                passed.append(at)
-        yield frame.iloc[passed][["user_id", "ms"]]
-
-
-def debounce(events: DataFrame, queue: DataFrame | None = None) -> DataFrame:
+def _blocks(ms: Column, length: int) -> Column:
+    return F.floor(ms / F.lit(length)).cast("bigint")
+
+
+def _with_begins(rows: DataFrame, longest: int, length: int) -> DataFrame:
+    """One row per user and moment: whether it ``begins`` (it passes whatever the events before it did, or is a stored
+    stamp), and whether it is ``open`` (an event that does not begin may follow it, or it is one).
+
+    The last ``longest`` milliseconds of a block also stand at the head of the next one, where they
+    are only looked back at.
+    """
+    end = (F.col("block") + 1) * F.lit(length)
+    near_end = F.col("ms") >= end - F.lit(longest)
+    own = rows.withColumn("block", _blocks(F.col("ms"), length)).withColumn("guest", F.lit(False))
+    guests = own.filter(near_end).withColumn("block", F.col("block") + 1).withColumn("guest", F.lit(True))
+    placed = own.unionByName(guests).repartition("user_id", "block")
+    moments = placed.groupBy("user_id", "block", "ms").agg(
+        F.min("wait").alias("wait"), F.max("stored").alias("stored"), F.max("guest").alias("guest")
+    )
+    in_time = Window.partitionBy("user_id", "block").orderBy("ms")
+    rested = F.col("ms") - F.lag("ms").over(in_time) >= F.col("wait")
+    marked = moments.withColumn("begins", F.col("stored") | F.coalesce(rested, F.lit(True)))
+    marked = marked.withColumn("ends", F.coalesce(F.lead("begins").over(in_time), ~near_end))
+    return marked.filter(~F.col("guest")).withColumn("open", ~(F.col("begins") & F.col("ends"))).drop("guest", "ends")
+
+
+def _jumps(opened: DataFrame, longest: int, length: int) -> DataFrame:
+    """(user_id, ms, to): the event that passes next if the one at ``ms`` did, unless that begins anyway.
+
+    An event j may follow the stamp i if ms_j - wait_j >= ms_i; the first of those is a running minimum over both kinds of
+    moments in falling order. Events that do not begin are less than ``longest`` apart, so the next one lies within twice that
+    and is found in the block of i, where the head of the following block is a guest.
+    """
+    stamps = opened.select("user_id", "block", F.col("ms").alias("key"), "ms", F.lit(None).cast("struct<ms:bigint,begins:boolean>").alias("next"))
+    own = opened.select("user_id", "block", (F.col("ms") - F.col("wait")).alias("key"), "ms", F.struct("ms", "begins").alias("next"))
+    head = own.filter(F.col("ms") < F.col("block") * F.lit(length) + F.lit(2 * longest)).withColumn("block", F.col("block") - 1)
+    falling = Window.partitionBy("user_id", "block").orderBy(F.desc("key")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = stamps.withColumn("is_stamp", F.lit(True)).unionByName(own.unionByName(head).withColumn("is_stamp", F.lit(False)))
+    found = found.withColumn("to", F.min("next").over(falling)).filter("is_stamp AND NOT to.begins")
+    return found.select("user_id", "ms", F.col("to.ms").alias("to"))
+
+
+def debounce(events: DataFrame, queue: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
     """The events (user_id, ts, wait_s) that pass, given the stamps in ``queue``.
 
-    An event whose wait is over since the event before it passes whatever that one did, and begins a
-    run of its own: what follows depends on it alone. Runs of one event are settled by that; longer
-    ones are folded in time order, each on its own, so a user with very many events is spread over
-    tasks. Of the queue only the users at hand are read.
+    An event whose wait is over since the event before it passes whatever that one did. From there on
+    each event that passes names the next one, so the rest is found by following these jumps, twice as far
+    each time: as many joins as the longest chain has binary digits, on keys that occur once. A user with very many events is
+    spread over tasks by time. Of the queue only the users at hand are read. ``keep`` holds what is made on the way; the result reads it.
     """
-    rows = _to_ms(events).groupBy("user_id", "ms").agg(F.min("wait_s").alias("wait_s")).withColumn("stored", F.lit(False))
+    columns = ("user_id", "ms", "wait", "stored")
+    rows = _to_ms(events).withColumns({"wait": F.greatest(F.col("wait_s") * F.lit(1000).cast("bigint"), F.lit(1)), "stored": F.lit(False)})
+    rows = rows.select(*columns)
     if queue is not None:
         stamps = queue.join(events.select("user_id").distinct(), "user_id", "left_semi")
         stamps = _to_ms(stamps.select("user_id", F.col("updated_at").alias("ts")))
-        stamps = stamps.select("user_id", "ms", F.lit(0).alias("wait_s"), F.lit(True).alias("stored"))
-        rows = rows.unionByName(stamps)
-    in_time = Window.partitionBy("user_id").orderBy("ms", F.desc("stored"))
-    gap = F.col("ms") - F.lag("ms").over(in_time)
-    begins = F.col("stored") | F.coalesce(gap >= F.col("wait_s") * 1000, F.lit(True))
-    runs = rows.withColumn("begins", begins).withColumns(
-        {"run": F.sum(F.col("begins").cast("bigint")).over(in_time), "last": F.lead("begins", 1, True).over(in_time)}
-    )
-    alone = F.col("begins") & F.col("last")
-    settled = runs.filter(alone & ~F.col("stored")).select("user_id", "ms")
-    open_runs = runs.filter(~alone).select("user_id", "run", "ms", "wait_s", "stored")
-    placed = open_runs.repartition("user_id", "run").sortWithinPartitions("user_id", "run", "ms", F.desc("stored"))
-    passed = settled.unionByName(placed.mapInPandas(_fold, "user_id bigint, ms bigint"))
+        rows = rows.unionByName(stamps.withColumns({"wait": F.lit(1).cast("bigint"), "stored": F.lit(True)}).select(*columns))
+    rows = keep(rows)
+    longest = rows.agg(F.coalesce(F.max("wait"), F.lit(1))).first()[0]
+    length = max(BLOCK_MS, 2 * longest)
+    marked = keep(_with_begins(rows, longest, length))
+    passed = marked.filter("begins AND NOT stored").select("user_id", "ms")
+    opened = marked.filter("open")
+    jumps = keep(_jumps(opened, longest, length))
+    reached = opened.filter("begins").select("user_id", "ms")
+    while not jumps.isEmpty():
+        found = keep(reached.join(jumps, ["user_id", "ms"]).select("user_id", F.col("to").alias("ms")))
+        passed, reached = passed.unionByName(found), reached.unionByName(found)
+        further = jumps.select("user_id", F.col("ms").alias("to"), F.col("to").alias("then"))
+        jumps = keep(jumps.join(further, ["user_id", "to"]).select("user_id", "ms", F.col("then").alias("to")))
     return passed.select("user_id", _from_ms("ms").alias("ts"))

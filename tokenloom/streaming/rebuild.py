@@ -246,7 +246,7 @@ class ProfileJob(RebuildJob):
         with Workspace(batch.sparkSession) as work:
             events = work.keep(enqueue_dirty(batch, sources))
             users = events.select("user_id").distinct()
-            passed = debounce(events, self.queue.read(before=batch_id, keys=users))
+            passed = debounce(events, self.queue.read(before=batch_id, keys=users), work.keep)
             stamps = work.keep(passed.groupBy("user_id").agg(F.max("ts").alias("updated_at")))
             self.rebuild(sources, stamps.select("user_id"), batch_id, work.keep)
             self.queue.upsert(stamps, batch_id)
