@@ -40,11 +40,10 @@ def _with_begins(rows: DataFrame, longest: int, length: int) -> DataFrame:
     The last ``longest`` milliseconds of a block also stand at the head of the next one, where they
     are only looked back at.
     """
-    end = (F.col("block") + 1) * F.lit(length)
-    near_end = F.col("ms") >= end - F.lit(longest)
-    own = rows.withColumn("block", _blocks(F.col("ms"), length)).withColumn("guest", F.lit(False))
-    guests = own.filter(near_end).withColumn("block", F.col("block") + 1).withColumn("guest", F.lit(True))
-    placed = own.unionByName(guests).repartition("user_id", "block")
+    near_end = F.col("ms") >= (_blocks(F.col("ms"), length) + 1) * F.lit(length) - F.lit(longest)
+    block = _blocks(F.col("ms"), length)
+    placed = rows.withColumn("block", F.explode(F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))))
+    placed = placed.withColumn("guest", ~F.col("block").eqNullSafe(block)).repartition("user_id", "block")
     moments = placed.groupBy("user_id", "block", "ms").agg(
         F.min("wait").alias("wait"), F.max("stored").alias("stored"), F.max("guest").alias("guest")
     )
@@ -62,11 +61,17 @@ def _jumps(opened: DataFrame, longest: int, length: int) -> DataFrame:
     moments in falling order. Events that do not begin are less than ``longest`` apart, so the next one lies within twice that
     and is found in the block of i, where the head of the following block is a guest.
     """
-    stamps = opened.select("user_id", "block", F.col("ms").alias("key"), "ms", F.lit(None).cast("struct<ms:bigint,begins:boolean>").alias("next"))
-    own = opened.select("user_id", "block", (F.col("ms") - F.col("wait")).alias("key"), "ms", F.struct("ms", "begins").alias("next"))
-    head = own.filter(F.col("ms") < F.col("block") * F.lit(length) + F.lit(2 * longest)).withColumn("block", F.col("block") - 1)
+    event = F.struct("ms", "begins")
+
+    def place(block: Column, key: Column, following: Column, is_stamp: bool) -> Column:
+        return F.struct(block.alias("block"), key.alias("key"), following.alias("next"), F.lit(is_stamp).alias("is_stamp"))
+
+    block, due = F.col("block"), F.col("ms") - F.col("wait")
+    own = [place(block, F.col("ms"), F.when(F.lit(False), event), True), place(block, due, event, False)]
+    in_head = F.col("ms") < block * F.lit(length) + F.lit(2 * longest)
+    places = F.when(in_head, F.array(*own, place(block - 1, due, event, False))).otherwise(F.array(*own))
     falling = Window.partitionBy("user_id", "block").orderBy(F.desc("key")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = stamps.withColumn("is_stamp", F.lit(True)).unionByName(own.unionByName(head).withColumn("is_stamp", F.lit(False)))
+    found = opened.select("user_id", "ms", F.explode(places).alias("at")).select("user_id", "ms", "at.*")
     found = found.withColumn("to", F.min("next").over(falling)).filter("is_stamp AND NOT to.begins")
     return found.select("user_id", "ms", F.col("to.ms").alias("to"))
 
