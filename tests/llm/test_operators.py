@@ -182,7 +182,10 @@ def test_mix_meets_targets(spark):
         assert sum(p["words"] for p in r["passes"]) == r["taken"]
         assert all(0 <= p["position"] <= 1 for p in r["passes"])
     assert len(plan) == len(rows)
-    assert all(abs(taken[r["source"]] - r["target"]) <= 1 for r in plan)
+    longest = {s: max(r["size"] for r in plan if r["source"] == s) for s in sizes}
+    # a source gives at least one document, however small its target
+    alone = {s for s in sizes if len([r for r in plan if r["source"] == s and r["taken"]]) == 1}
+    assert all(2 * abs(taken[s] - t) <= longest[s] + 1 or s in alone and taken[s] > t for s, t in {(r["source"], r["target"]) for r in plan})
     assert mixing.plan_mix(frame(spark, []), (5, 2, 1), 3, queries.SCHEDULES, Scratch(spark, "t")).count() == 0
 
 
@@ -205,7 +208,7 @@ def test_mixed_documents_hold_the_words_of_the_plan(spark):
     texts = {(r[0], r[1]) for r in HARD}
     for r in found.collect():
         words[r["source"]] += len(brute.WORD.findall(r["text"]))
-        assert any(i == r["doc_id"] and t and t.startswith(r["text"]) for i, t in texts)
+        assert (r["doc_id"], r["text"]) in texts
     want = Counter()
     for r in plan.collect():
         want[r["source"]] += r["taken"]

@@ -56,12 +56,26 @@ def test_mixing_query_takes_its_rows_from_the_sorted_mix(spark, monkeypatch):
     # the schedule's integral at a document's positions is the words of its source before each pass
     order = sorted({r["source"] for r in planned if r["source"] is not None}) + [None]
     for r in planned:
-        schedule, wanted = queries.SCHEDULES[order.index(r["source"]) % 3], int(r["target"] + 0.5)
+        schedule, given = queries.SCHEDULES[order.index(r["source"]) % 3], sum(x["taken"] for x in planned if x["source"] == r["source"])
         earlier = sum(x["size"] for x in planned if x["source"] == r["source"] and x["begin"] < r["begin"])
         for p in r["passes"]:
             assert r["begin"] == earlier
-            assert abs(spent(schedule, p["position"]) / spent(schedule, 1.0) - (earlier + p["pass"] * r["source_size"]) / wanted) < 1e-9
+            assert abs(spent(schedule, p["position"]) / spent(schedule, 1.0) - (earlier + p["pass"] * r["source_size"]) / given) < 1e-9
     seen = []
     monkeypatch.setattr(mixing, "mixed_order", lambda plan, made=mixing.mixed_order: seen.append(1) or made(plan))
     queries.op4_mixing(spark, FOLDER)
     assert seen
+
+
+def test_border_documents_are_taken_whole_or_not_at_all(spark):
+    rows = [(k, "w " * (1 + k % 9), "en", "abc"[k % 3], 1) for k in range(200)] + [(900 + k, "long " * 700, "en", "b", 1) for k in range(3)]
+    rows += [(None, f"no id {k} " * 3, "en", "c", 1) for k in range(40)] + [(950, "alone " * 5000, "en", "d", 1)]
+    plan = plan_of(spark, rows).collect()
+    for source in "abcd":
+        mine = [r for r in plan if r["source"] == source]
+        assert all(p["words"] == r["size"] for r in mine for p in r["passes"])
+        taken, target, longest = sum(r["taken"] for r in mine), mine[0]["target"], max(r["size"] for r in mine)
+        assert taken > 0 and (2 * abs(taken - target) <= longest + 1 or source == "d")
+    mixed = pipeline.mix_sources(spark, brute.frame(spark, rows), FOLDER)
+    texts = {(r[0], r[1]) for r in rows}
+    assert all((r["doc_id"], r["text"]) in texts for r in mixed.collect())

@@ -3,8 +3,9 @@
 Every source has a weight and a schedule: how its share of the weight is spread over training time 0 to 1, given by
 knots (time, height) joined by straight lines. The integral of the schedule, scaled to the source's target, is its cumulative
 word demand. A source's documents stand in a fixed random order and repeat in passes; the demand, inverted at the
-words before a document's pass, gives its training position. Words past the target aren't taken, so the document at
-the border is taken in part. Sorting by position gives the mix.
+words before a document's pass, gives its training position. The document at the border is taken whole if that comes
+nearer to the target, or if its source would else give nothing, and not at all if not: no text is cut. A
+source's demand is spread over the words it gives. Sorting by position gives the mix.
 
 Targets share all words by weight and stop at ``most`` times a source's words; the excess is shared
 again by weight until no target is above.
@@ -113,18 +114,26 @@ def plan_mix(
     targets = scratch.keep(source_targets(rows, weights, most), "targets")
     placed = words_before(rows, order, scratch)
     small = targets.withColumnRenamed("source", "s")
-    placed = placed.join(small, placed["source"].eqNullSafe(small["s"])).drop("s")
     wanted = F.round("target").cast("long")
 
-    def one_pass(k: Column) -> Column:
+    def words_of(k: Column) -> Column:
         start = F.col("begin") + k * F.col("source_size")
-        words = F.greatest(F.lit(0), F.least("size", wanted - start)).cast("long")
-        position = scheduled(start, wanted, schedules)
+        rest = wanted - start
+        whole = (rest >= F.col("size")) | ((rest > 0) & ((2 * rest >= F.col("size")) | (start == 0)))
+        return F.when(whole, F.col("size")).otherwise(0).cast("long")
+
+    placed = placed.join(small, placed["source"].eqNullSafe(small["s"])).drop("s")
+    placed = scratch.keep(placed.withColumn("words", F.transform(F.sequence(F.lit(0), F.lit(most - 1)), words_of)), "placed")
+    taken = F.aggregate("words", F.lit(0).cast("long"), lambda total, words: total + words)
+    given = placed.groupBy(F.col("source").alias("s")).agg(F.sum(taken).alias("given"))
+    placed = placed.join(given, placed["source"].eqNullSafe(given["s"])).drop("s")
+
+    def one_pass(words: Column, k: Column) -> Column:
+        position = scheduled(F.col("begin") + k * F.col("source_size"), F.col("given"), schedules)
         return F.struct(k.cast("int").alias("pass"), words.alias("words"), position.alias("position"))
 
-    passes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), one_pass), lambda p: p["words"] > 0)
-    taken = F.aggregate("passes", F.lit(0).cast("long"), lambda total, p: total + p["words"])
-    return placed.withColumn("passes", passes).select("doc_id", "source", "text_hash", "size", "source_size", "target", "begin", taken.alias("taken"), "passes")
+    passes = F.filter(F.transform("words", one_pass), lambda p: p["words"] > 0)
+    return placed.select("doc_id", "source", "text_hash", "size", "source_size", "target", "begin", taken.alias("taken"), passes.alias("passes"))
 
 
 def mixed_order(plan: DataFrame) -> DataFrame:
@@ -147,34 +156,22 @@ def documents_of_mix(plan: DataFrame, mix: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in training order: one for each pass that takes words.
-
-    A pass that takes only part of a document keeps its first words, as they stand in the text; ``n_chars``, if the
-    documents have it, follows. Rows that repeat doc_id and text share their text, each has its own passes.
-    """
-    mix = plan.select(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), "size", "passes").where(F.size("passes") > 0)
+    """The rows of ``docs`` in training order, one for each pass. Rows that repeat doc_id and text share their text, each has its own passes."""
+    mix = plan.select(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"), "passes").where(F.size("passes") > 0)
     rows = whole_rows(docs).dropDuplicates(["doc_id", "text_hash"])
     rows = rows.join(mix, rows["doc_id"].eqNullSafe(F.col("mix_id")) & (rows["text_hash"] == F.col("mix_hash"))).withColumn("p", F.explode("passes"))
-    cut = F.col("p.words") < F.col("size")
-    # cut after each word: a piece is a word with the white space before it
-    pieces = F.split("doc.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    text = F.when(cut, F.array_join(F.slice(pieces, F.lit(1), F.col("p.words").cast("int")), "")).otherwise(F.col("doc.text"))
     keys = ["p.position", "doc_id", "text_hash", "p.pass"]
-    rows = rows.withColumn("head", text).repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys)
-    new = {"text": F.col("head")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(cut, F.char_length("head").cast("long")).otherwise(F.col("doc.n_chars"))
-    return rows.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
+    rows = rows.repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys)
+    return rows.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def in_training_order(docs: DataFrame, schedules: Sequence[Schedule], scratch: Scratch, seed: str = "mix") -> DataFrame:
     """The rows of a mix (see ``mixed_documents``) in training order, however they were stored: (doc_id, text).
 
-    Nothing but the rows is needed: rows that repeat doc_id and text are its passes; within a source passes follow each other, each in the
-    order of the hash of doc_id and ``seed``; a source's words are its target. A row whose text begins another row's
-    of its doc_id is the pass cut at the target, so it is the source's last.
+    Nothing but the rows is needed: rows that repeat doc_id, source and text are its passes; within a source passes follow each other, each in the
+    order of the hash of doc_id and ``seed``; a source's demand is spread over its words.
 
-    The rank of a source counts the sources of the mix, so every source of the documents must have words in it.
+    The rank of a source counts the sources of the mix. Every source with words and a target of one or more is among them.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
@@ -182,23 +179,13 @@ def in_training_order(docs: DataFrame, schedules: Sequence[Schedule], scratch: S
     )
     sizes = rows.select("doc_id", "source", "text_hash", "key", word_count("text").alias("size"))
     once = scratch.keep(sizes.groupBy("key").agg(*(F.first(c).alias(c) for c in sizes.columns if c != "key"), F.count("*").alias("times")), "rows")
-    # only a doc_id with several texts in a source can hold a cut pass
-    several = once.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.max("size").alias("longest")).where("n > 1").drop("n")
-    several = several.withColumnsRenamed({"source": "s", "doc_id": "d"})
-    suspects = once.join(several, once["source"].eqNullSafe(F.col("s")) & once["doc_id"].eqNullSafe(F.col("d")), "left_semi")
-    suspects = scratch.keep(rows.join(suspects.select("key"), "key", "left_semi").dropDuplicates(["key"]).select("key", "doc_id", "source", "text"), "suspects")
-    other = suspects.select(F.col("source").alias("s"), F.col("doc_id").alias("d"), F.col("text").alias("whole"))
-    begins = F.startswith(F.col("whole"), F.col("text")) & (F.char_length("whole") > F.char_length("text"))
-    cut = suspects.join(other, suspects["source"].eqNullSafe(F.col("s")) & suspects["doc_id"].eqNullSafe(F.col("d")) & begins, "left_semi")
-    cut = cut.select("key", F.lit(True).alias("cut"))
     turn = F.md5(F.concat_ws(" ", F.lit(seed), F.col("doc_id")))
-    passes = once.join(cut, "key", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
-    passes = passes.select("key", "source", "cut", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("pass"), turn.alias("turn"), "doc_id", "text_hash", "size")
-    placed = words_before(passes, ["source", "cut", "pass", "turn", "doc_id", "text_hash"], scratch)
-    sources = once.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("wanted"))
+    passes = once.select("key", "source", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("pass"), turn.alias("turn"), "doc_id", "text_hash", "size")
+    placed = words_before(passes, ["source", "pass", "turn", "doc_id", "text_hash"], scratch)
+    sources = once.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("given"))
     sources = sources.withColumn("source_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).withColumnRenamed("source", "s")
     placed = placed.join(sources, placed["source"].eqNullSafe(sources["s"]))
-    at = F.struct(scheduled(F.col("begin"), F.col("wanted"), schedules).alias("position"), "pass")
+    at = F.struct(scheduled(F.col("begin"), F.col("given"), schedules).alias("position"), "pass")
     positions = placed.groupBy("key").agg(F.collect_list(at).alias("at"))
     keys = ["at.position", "source", "doc_id", "at.pass", "key"]
     ordered = rows.dropDuplicates(["key"]).join(positions, "key").select("doc_id", "source", "text", "key", F.explode("at").alias("at"))

@@ -290,8 +290,8 @@ o AS (
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.turn, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
-  (greatest(0, least(size, wanted - start)) + greatest(0, least(size, wanted - start - source_size))
-   + greatest(0, least(size, wanted - start - 2 * source_size)))::BIGINT AS taken
+  list_sum([CASE WHEN rest >= size OR rest > 0 AND (2 * rest >= size OR rest = wanted) THEN size ELSE 0 END
+            FOR rest IN [wanted - start, wanted - start - source_size, wanted - start - 2 * source_size]])::BIGINT AS taken
 FROM o
 """,
     "op11_fill_middle": rf"""
