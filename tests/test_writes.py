@@ -1,6 +1,8 @@
 """Writes, checks and the jobs end to end."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,12 +36,46 @@ def test_keyed_table(spark, tmp_path):
     table.apply(spark.createDataFrame([(3, "c")], KV), spark.createDataFrame([(1,), (3,)], "k int"), 2)
     assert rows(table.read()) == [(2, "B"), (3, "c")]
     assert rows(table.read(before=1)) == [(1, "a"), (2, "b")]
-    assert rows(table.compact(str(tmp_path / "c")).read()) == [(2, "B"), (3, "c")]
     later = KeyedTable(spark, str(tmp_path / "t"), ["k"], first_batch=3)
     later.upsert(spark.createDataFrame([(2, "late")], KV), 0)
     assert rows(table.read()) == [(2, "late"), (3, "c")]
 
 
+def test_batches_are_folded_as_they_come(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FOLD", 2)
+    table, model = KeyedTable(spark, str(tmp_path / "t"), ["k"], first_batch=1), {}
+    schema, dice = "k int, v string", random.Random(2)
+    for batch in range(12):
+        if batch in (3, 6):
+            continue  # a batch without rows of this table
+        new, gone = {k: f"{batch}-{k}" for k in dice.sample(range(9), 3)}, dice.sample(range(9), 2)
+        before = dict(model)
+        for _ in range(2 if batch in (7, 8) else 1):  # a replay
+            earlier = table.read(before=batch)
+            assert ({} if earlier is None else dict(earlier.collect())) == before
+            table.apply(spark.createDataFrame(sorted(new.items()), schema), spark.createDataFrame([(k,) for k in gone], "k int"), batch)
+        model = {k: v for k, v in model.items() if k not in gone} | new
+        assert dict(table.read().collect()) == model
+    assert len(table.folders(0, 12)) <= 3
+    left = [f for f in os.listdir(table.root) if f.startswith("batch_id=")]
+    assert 0 < len(left) < 6  # what was folded is gone
+    # a fold that broke off leaves no table and is done again
+    os.makedirs(f"{table.root}/_folds/2/12.new-broken")
+    table.upsert(spark.createDataFrame([(1, "last")], schema), 13)
+    assert dict(table.read().collect()) == model | {1: "last"}
+
+
+def test_a_late_batch_reads_as_many_folders_as_an_early_one(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"])
+    for number in range(10_000):
+        os.makedirs(f"{table.root}/batch_id={number}")
+    for size in (16, 256, 4096):
+        for first in range(0, 10_000 - size + 1, size):
+            os.makedirs(f"{table.root}/_folds/{size}/{first}")
+    assert len(table.folders(0, 10)) == len(table.folders(0, 10_000)) == 10
+    assert max(len(table.folders(0, n)) for n in range(4090, 4110)) <= 45
+
+
 def test_a_bulk_load_is_a_new_version(spark, tmp_path):
     """Bulk, stream, bulk again: the second load counts. One that is not published does not."""
     path, one = str(tmp_path / "t"), lambda v: spark.createDataFrame([(1, v)], KV)

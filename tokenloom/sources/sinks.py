@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from tokenloom.operators.upsert import assert_unique
 from tokenloom.settings import delete_folder, exists
 from tokenloom.sources.starts import load_start, record_start
 
+#: How many folders become one.
+FOLD = 16
+
 
 def materialize(df: DataFrame, path: str, pk: list[str]) -> DataFrame:
     """Replaces a table by a query result whose key must be unique and not NULL. The result is written
@@ -67,7 +71,11 @@ class KeyedTable:
 
     A batch costs what it holds, not what the table holds. Writing a batch again replaces its own
     folder, so a replay after a failure changes nothing. Deleted keys are rows marked as such.
-    ``compact`` folds the batches so far into one.
+
+    Batches are folded as they come: before a batch whose number is a multiple of FOLD**k is written, the FOLD**k batches before it,
+    which are closed then, become one folder with the newest row of each key. Reads take the fewest folders that hold
+    the batches they want, by number, so they cost about the same however many batches there were. What a fold
+    replaces stays until the next fold of its size, for readers that have begun.
 
     A bulk load opens a new version and publishes it when it is complete; readers and streams stay with the
     published one.
@@ -99,13 +107,59 @@ class KeyedTable:
             found = record_start(self.spark, kept, wanted if earlier is None else free_start_ms(earlier, wanted, layout))
         return found
 
+    def folders(self, start: int, end: int) -> list[str]:
+        """The folders that hold the batches from number ``start`` to before ``end``, the largest folds there are."""
+        found, at = [], start
+        while at < end:
+            size = 1
+            while at % (size * FOLD) == 0 and at + size * FOLD <= end:
+                size *= FOLD
+            while size > 1 and not exists(self.spark, self._fold_folder(at, size)):
+                size //= FOLD
+            folder = self._fold_folder(at, size) if size > 1 else f"{self.root}/batch_id={at}"
+            if size > 1 or exists(self.spark, folder):
+                found.append(folder)
+            at += size
+        return found
+
+    def _fold_folder(self, first: int, size: int) -> str:
+        return f"{self.root}/_folds/{size}/{first}"
+
+    def _rows_of(self, folders: list[str]) -> DataFrame | None:
+        read = self.spark.read.option("mergeSchema", "true")
+        single, folds = [f for f in folders if "/_folds/" not in f], [f for f in folders if "/_folds/" in f]
+        parts = [read.option("basePath", self.root).parquet(*single)] if single else []
+        parts += [self.spark.read.option("mergeSchema", "true").parquet(*folds)] if folds else []
+        parts = [part.withColumn("batch_id", F.col("batch_id").cast("bigint")) for part in parts]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
     def history(self, before: int | None = None) -> DataFrame | None:
-        """Every row ever written, marks of deleted keys among them, or None before the first write."""
-        try:
-            every = self.spark.read.option("basePath", self.root).option("mergeSchema", "true").parquet(self.root)
-        except AnalysisException:
-            return None
-        return every if before is None else every.filter(F.col("batch_id") < before + self.first_batch)
+        """The rows of all batches, of folded ones the newest of each key, marks of deleted keys among them; None before the first write."""
+        end = _next_batch(self.spark, self.root) if before is None else before + self.first_batch
+        return self._rows_of(self.folders(0, end))
+
+    def fold(self, number: int) -> None:
+        """Folds the closed batches before the batch of that number, as far as it is time to. Done again after a failure, it changes nothing;
+        a fold whose turn fell on a batch without a write is made up for."""
+        size = FOLD
+        while size <= number:
+            end = number - number % size
+            first, folder = end - size, self._fold_folder(end - size, size)
+            inputs = [] if exists(self.spark, folder) else self.folders(first, end)
+            if inputs:
+                every, made = self._rows_of(inputs), f"{folder}.new-{uuid.uuid4().hex}"
+                latest_by(every, self.pk, ["batch_id"], every.columns).write.parquet(made)
+                rename(self.spark, made, folder)
+            if inputs or end == number:
+                self._drop_inputs(first - size, size)
+            size *= FOLD
+
+    def _drop_inputs(self, first: int, size: int) -> None:
+        """What the fold of ``size`` batches from ``first`` on was made of."""
+        if first >= 0 and exists(self.spark, self._fold_folder(first, size)):
+            part = size // FOLD
+            for at in range(first, first + size, part):
+                delete_folder(self.spark, self._fold_folder(at, part) if part > 1 else f"{self.root}/batch_id={at}")
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """``batch`` holds one row per key."""
@@ -118,6 +172,7 @@ class KeyedTable:
         self._write(live.unionByName(marked, allowMissingColumns=True), batch_id)
 
     def _write(self, rows: DataFrame, batch_id: int) -> None:
+        self.fold(batch_id + self.first_batch)
         rows.write.mode("overwrite").parquet(self._folder(batch_id))
 
     def read(self, before: int | None = None, keys: DataFrame | None = None) -> DataFrame | None:
@@ -133,13 +188,13 @@ class KeyedTable:
         newest = latest_by(every, self.pk, ["batch_id"], every.columns)
         return newest.filter(~F.col("row_deleted")).select(*[c for c in every.columns if c not in ("batch_id", "row_deleted")])
 
-    def compact(self, path: str) -> KeyedTable:
-        """The current rows as the single batch 0 of a new table at ``path``; the old one stays."""
-        compacted = KeyedTable(self.spark, path, self.pk, version=0)
-        rows = self.read()
-        if rows is not None:
-            compacted.upsert(rows, 0)
-        return compacted
+
+def _next_batch(spark: SparkSession, root: str) -> int:
+    """The number after the last batch written. Folded batches go, so few names are listed."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(jvm_path)] if files.exists(jvm_path) else []
+    return max((int(name.split("=")[1]) + 1 for name in names if name.startswith("batch_id=")), default=0)
 
 
 def _current_version(spark: SparkSession, path: str) -> int:
