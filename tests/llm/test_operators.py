@@ -51,6 +51,27 @@ def test_cached_ids_of_random_texts(tokenizer):
     assert not wrong, wrong[:3]
 
 
+def test_words_and_ascii_pieces_do_not_need_the_whole_tokenizer(tokenizer):
+    """Words of Latin-1 letters and the parts of ASCII pieces are encoded by the model alone, with the ids of whole texts."""
+    letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+    words = ["".join(w) for w in zip(letters, letters[7:], letters[23:], strict=False)] + ["canción", "straße", "µª", "ñandú"]
+    texts = [" ".join(words), "a.b@c9.example.com it's they'll 'S ab### $$$ab |x| 555-7713 (017) <|x|> a<|endoftext|>b \x1f-x \x7f1 \"q\"", "\x1c'tis--12'd" * 3]
+    tool, sent = WordTokenizer(queries.word_tokenizer_file()), []
+
+    class Whole:
+        model = tool.tokenizer.model
+
+        def encode_batch_fast(self, pieces, add_special_tokens):
+            sent.extend(pieces)
+            return tokenizer.encode_batch_fast(pieces, add_special_tokens=add_special_tokens)
+
+    tool.tokenizer = Whole()
+    found = [ids.tolist() for text in texts for _, ids, _ in tool.encode_all(iter([text]))]
+    assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    # special tokens, control characters, runs of one kind and endings like 'll are left
+    assert not [p for p in sent if p.isalpha() or (p.isascii() and p.isprintable() and "<|" not in p and p[0] != "'" and len({c.isalnum() for c in p}) > 1)]
+
+
 def test_other_kinds_of_tokenizers_are_refused(tmp_path):
     path = tmp_path / "other.json"
     path.write_text('{"normalizer": null, "pre_tokenizer": {"type": "ByteLevel"}, "model": {}}')

@@ -4,11 +4,26 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
+#: What the tokenizer makes of a lower-case ASCII piece before it looks at its vocabulary.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The character that stands for each byte in the vocabulary: itself if visible, else the next free one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in seen else next(others)) for b in range(256)}
+
+
+_SIGNS = _byte_signs()
+
 
 class _Codes(dict):
     """Word -> number; unseen words get the next number and wait in ``todo``."""
@@ -36,7 +51,7 @@ def _lowered(text: str) -> str:
 
 def _letters(word: str) -> bool:
     """Letters only, also as the tokenizer sees them: some capitals become a letter and a mark, which joins a sign behind it."""
-    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
 
 
 def _check_kind(path: str) -> None:
@@ -70,43 +85,62 @@ class WordTokenizer:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
-    def _ids(self, code: int, first: int, found: list) -> list[int]:
-        if code >= first:
-            return found[code - first]
-        return self.flat[self.starts[code] : self.starts[code] + self.counts[code]].tolist()
+    def _room(self) -> None:
+        while len(self.codes) > len(self.starts):
+            self.starts, self.counts = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.counts))
+
+    def _store(self, codes: list[int], ids: np.ndarray, counts: np.ndarray) -> None:
+        """The ids of the pieces ``codes``, one piece after the other."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.counts[codes] = counts
+        self.starts[codes] = self.used + np.cumsum(counts) - counts
+        self.used += len(ids)
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces ``codes`` in one array, and how many ids come before the end of each piece."""
+        counts = self.counts[codes]
+        after = np.cumsum(counts)
+        return self.flat[np.arange(int(after[-1]) if len(after) else 0) + np.repeat(self.starts[codes] - (after - counts), counts)], after
 
     def _learn(self) -> None:
-        """Ids of the pieces in ``todo``; a word with one comma or full stop is its word, then the sign."""
-        todo, codes, model = self.codes.todo, self.codes, self.tokenizer.model
+        """Ids of the pieces in ``todo``: words of Latin-1 letters by the model alone, ASCII pieces by their parts, a word with one
+        comma or full stop as its word and the sign, others by the whole tokenizer."""
+        todo, codes, tokenize = self.codes.todo, self.codes, self.tokenizer.model.tokenize
         if not todo:
             return
-        first = len(codes) - len(todo)
-        found: list = []
-        slow, joined = [], []
-        for k, piece in enumerate(todo):  # grows while it is read: bare words join at its end
-            found.append(None)
-            if piece.isascii() and piece.isalpha() and piece.islower():
-                found[k] = [t.id for t in model.tokenize(piece)]
+        plain, ids, ends = [], [], [0]
+        slow, joined, parts = [], [], []
+        for k, piece in enumerate(todo, len(codes) - len(todo)):  # grows while it is read: parts join at its end
+            if piece.isalpha():
+                if piece.isascii() and piece.islower():
+                    ids += [t.id for t in tokenize(piece)]
+                elif piece.islower() and max(piece) <= "\xff":
+                    ids += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(_SIGNS))]
+                else:
+                    slow.append((k, piece))
+                    continue
+                plain.append(k)
+                ends.append(len(ids))
             elif piece[-1] in ",." and _letters(piece[:-1]):
-                joined.append((k, codes[piece[:-1]], codes[piece[-1]]))
+                joined.append((k, 2))
+                parts += codes[piece[:-1]], codes[piece[-1]]
+            elif piece.isascii() and piece.isprintable() and "<|" not in piece and len(found := _PARTS.findall(piece.lower())) > 1:
+                joined.append((k, len(found)))
+                parts += [codes[part] for part in found]
             else:
-                slow.append(k)
+                slow.append((k, piece))
+        self._room()
+        self._store(plain, np.array(ids, np.uint32), np.diff(ends))
         for lo in range(0, len(slow), 4096):
             chosen = slow[lo : lo + 4096]
-            for k, e in zip(chosen, self.tokenizer.encode_batch_fast([todo[k] for k in chosen], add_special_tokens=False), strict=True):
-                found[k] = e.ids
-        for k, word, sign in joined:
-            found[k] = self._ids(word, first, found) + self._ids(sign, first, found)
-        while len(codes) > len(self.starts):
-            self.starts, self.counts = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.counts))
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(counts.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        self.counts[first : first + len(found)] = counts
-        self.starts[first : first + len(found)] = self.used + np.cumsum(counts) - counts
-        self.used += total
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([piece for _, piece in chosen], add_special_tokens=False)]
+            self._store([k for k, _ in chosen], np.array([*chain.from_iterable(found)], np.uint32), np.fromiter(map(len, found), np.int64, len(found)))
+        if joined:
+            of_parts, after = self._gather(np.array(parts))
+            whole, n_parts = zip(*joined, strict=True)
+            self._store(list(whole), of_parts, np.diff(after[np.cumsum(n_parts) - 1], prepend=0))
         todo.clear()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,11 +154,9 @@ class WordTokenizer:
             ends.append(len(pieces))
         codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces))
         self._learn()
-        counts = self.counts[codes]
-        after = np.cumsum(counts)
-        at = np.arange(int(after[-1]) if len(after) else 0) + np.repeat(self.starts[codes] - (after - counts), counts)
+        ids, after = self._gather(codes)
         until = np.r_[0, after][ends] if ends else np.empty(0, np.int64)
-        return self.flat[at], np.diff(np.r_[0, until])
+        return ids, np.diff(np.r_[0, until])
 
     def encode_all(self, texts: Iterator[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """``encode`` over groups of about ``chars`` characters: (number of texts, ids, counts). Null is empty."""
