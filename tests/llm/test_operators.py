@@ -440,3 +440,31 @@ def test_cuts_are_the_cheapest(spark):
             best[e] = min(best[s] + 16 - (e - s) + price[e] for s in best if e - s <= 16)
         assert cuts[-1] == ends[-1] and all(b - a <= 16 for a, b in zip([0, *cuts[:-1]], cuts, strict=True))
         assert total(cuts) == best[int(ends[-1])]
+
+
+def test_cuts_of_long_streams_follow_sentences_and_documents():
+    """Rounds leave the windows room, so cuts lie at ends of sentences and documents and cost less than cuts at every 4096 ids."""
+    random, length, mark = np.random.default_rng(3), 4096, 7
+    docs = [np.append(random.choice([mark, *range(10, 40)], n), 2).astype(np.uint32) for n in random.integers(300, 1500, 900)]
+    packer = packing._Packer(0, length, np.array([mark], np.uint32), 8, 64)
+    found = [row for k, ids in enumerate(docs) for row in packer.add(k, ids)] + list(packer.finish())
+    stream, closed = np.concatenate(docs), {int(n) for n in np.cumsum([len(d) for d in docs])}
+    assert b"".join(row[3] for row in found) == stream.astype("<u4").tobytes() and len(stream) > 2 * packing.ROUND
+    price = lambda cut: 0 if cut in closed else 8 if stream[cut - 1] == mark else 64
+    cuts = np.cumsum([row[1] for row in found]).tolist()
+    long = [(cut, row) for cut, row in zip(cuts, found, strict=True) if row[2] == length]
+    assert len(long) > len(stream) // length - 2 and sum(price(cut) <= 8 for cut, _ in long) >= 0.9 * len(long)
+    spent = sum(price(cut) for cut in cuts) + sum(row[2] - row[1] for row in found)
+    assert spent < 0.5 * sum(price(cut) for cut in range(length, len(stream), length))
+
+
+@pytest.mark.parametrize("n", [1, 31, 32, 33, 64, 100, 511, 512, 513, 1000, 4000])
+def test_streams_of_any_length_end_in_powers_of_two(n):
+    random = np.random.default_rng(n)
+    ids = random.choice([7, 8, 9, 10, 11], n).astype(np.uint32)
+    packer = packing._Packer(0, 32, np.array([7], np.uint32), 1, 4)
+    found = [*packer.add(1, ids), *packer.finish()]
+    assert b"".join(row[3] for row in found) == ids.astype("<u4").tobytes()
+    assert all(0 < row[1] <= 32 and row[2] == (row[1] if row[1] & (row[1] - 1) == 0 else 32) for row in found)
+    assert found[-1][2] == found[-1][1] or found[-1][1] > 16
+    assert [row[0] for row in found] == list(range(len(found)))

@@ -5,9 +5,12 @@ cut from that stream. A window that is neither full nor a power of two long is p
 document is free, at the end of a sentence it costs ``sentence_cost``, elsewhere ``word_cost``, in units of padded
 ids. The windows of least total cost are found by dynamic programming over the places where a cut is allowed; as the
 cost of a window is (its cut's cost + length - end) + its start, the best start is a sliding minimum, kept in a monotone queue.
+While planning, a window shorter than ``length`` counts as padded also where it is a power of two, so that such windows stay few.
 
-Every task packs the rows of its partition, in their order, and splits what is left at its end into powers of
-two, so a partition ends without padding. Nothing is shuffled.
+Every task packs the rows of its partition, in their order, a round of ids at a time. A round ends at whichever place of its last window
+has cost least per id so far: an end at a fixed place would leave the windows no room, and all would be cut at multiples of
+``length``. The round's last window is planned anew with the next round. What is left at the end of a partition is split into powers of two, so it
+ends without padding; where this begins is planned too. Nothing is shuffled.
 
 Defined cases: a null or empty text is a document of the end id alone; rows with the same doc_id are packed
 separately; a null doc_id stays null; an empty table gives no sequences; other columns are ignored.
@@ -16,7 +19,7 @@ separately; a null doc_id stays null; an empty table gives no sequences; other c
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +41,14 @@ _SEQUENCES = (
 )
 
 
-def best_cuts(ends: np.ndarray, costs: np.ndarray, length: int) -> list[int]:
+def best_cuts(ends: np.ndarray, costs: np.ndarray, length: int, choose: Callable[[np.ndarray], int] | None = None) -> list[int]:
     """Which of the places ``ends`` (ascending, at most ``length`` apart) to cut at, the last one included.
 
-    ``costs`` holds what a cut at each place costs. A window between two cuts costs its padding up to ``length``.
+    ``costs`` holds what a cut at each place costs. A window between two cuts costs its padding up to ``length``. ``choose`` picks the last
+    cut by the least cost of all windows up to each place; without it that is the last place.
     """
     places, price = ends.tolist(), costs.tolist()
-    came_from = [0] * len(places)
+    came_from, reached = [0] * len(places), [0.0] * len(places)
     queue: deque[tuple[float, int, int]] = deque([(0.0, 0, -1)])  # (cost + start, start, index), ascending
     for j, end in enumerate(places):
         oldest = end - length
@@ -52,11 +56,11 @@ def best_cuts(ends: np.ndarray, costs: np.ndarray, length: int) -> list[int]:
             queue.popleft()
         value, _, i = queue[0]
         came_from[j] = i
-        value = value + length + price[j]  # = cost up to here + end
+        reached[j] = value = value + length + price[j]  # = cost up to here + end
         while queue and queue[-1][0] >= value:
             queue.pop()
         queue.append((value, end, j))
-    cuts, j = [], len(places) - 1
+    cuts, j = [], len(places) - 1 if choose is None else choose(np.array(reached) - ends)
     while j >= 0:
         cuts.append(places[j])
         j = came_from[j]
@@ -100,20 +104,14 @@ class _Packer:
         cost[np.flatnonzero(np.isin(stream, self.sentence_ends)) + 1] = self.sentence_cost
         cost[closed[whole]] = 0
         if last:
-            # the rest of the partition that fills no sequence becomes powers of two at its end
-            n_full = n - n % self.length
-            cuts, rest = [], n % self.length
-            if n_full:
-                cost[n_full] = 0
-                cuts = self._cuts(cost, n_full)
-            at = n_full
-            while rest:
-                size = 1 << (rest.bit_length() - 1)
-                at, rest = at + size, rest - size
+            # the rest of the partition behind the last cut becomes powers of two at its end
+            cuts = self._cuts(cost, n, lambda ends, spent: spent + self.word_cost * np.maximum(np.bitwise_count(n - ends) - 1.0, 0)) if n >= self.length else []
+            at = cuts[-1] if cuts else 0
+            while at < n:
+                at += 1 << ((n - at).bit_length() - 1)
                 cuts.append(at)
         else:
-            cost[n] = min(cost[n], self.word_cost)
-            cuts = self._cuts(cost, n)[:-1]  # the last window is planned anew with what follows
+            cuts = self._cuts(cost, n, lambda ends, spent: spent / ends)[:-1]  # the last window is planned anew with what follows
         yield from self._emit(stream, closed, cuts)
         kept = cuts[-1] if cuts else 0
         self.ids, self.size = [stream[kept:]], n - kept
@@ -124,9 +122,11 @@ class _Packer:
                 left.append((doc_id, before + gone, size - gone, total))
         self.docs = left
 
-    def _cuts(self, cost: np.ndarray, until: int) -> list[int]:
-        places = np.flatnonzero(np.isfinite(cost[1 : until + 1])) + 1
-        return best_cuts(places, cost[places], self.length)
+    def _cuts(self, cost: np.ndarray, n: int, price: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> list[int]:
+        """The cheapest cuts up to the place among the last ``length`` ids that has the least price, given the places and their costs."""
+        places = np.flatnonzero(np.isfinite(cost[1:])) + 1
+        first = int(np.searchsorted(places, n - self.length, side="right"))
+        return best_cuts(places, cost[places], self.length, lambda spent: first + int(np.argmin(price(places[first:], spent[first:]))))
 
     def _emit(self, stream: np.ndarray, closed: np.ndarray, cuts: list[int]) -> Iterator[tuple]:
         opened = closed - np.array([size for _, _, size, _ in self.docs])
