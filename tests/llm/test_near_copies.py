@@ -86,3 +86,39 @@ def test_near_copies_equal_all_pairs_of_shingles(spark, rows):
 
 def test_near_copies_of_no_rows(spark):
     assert pipeline.near_copies(spark, brute.frame(spark, []), FOLDER).count() == 0
+
+
+def test_ball_pairs_join_fingerprints_within_the_radius(spark):
+    """The ball's pairs connect the texts that fingerprints at three or fewer differing bits connect."""
+    prints = [0b0, 0b111, 0b111111, 1 << 40, (1 << 60) - 1, (1 << 60) - 1, (1 << 60) - 2, 0x5555 << 20]
+    rows = [(k - 4, p) for k, p in enumerate(prints)] + [(-4, 0)]
+    found = near_copies.ball_pairs(spark.createDataFrame(rows, "node long, fp long"), Scratch(spark, "t")).collect()
+    nodes = dict(rows)
+    assert all((nodes[a] ^ nodes[b]).bit_count() <= 3 for a, b in found)
+    linked = brute.components(list(nodes), lambda a, b: (nodes[a] ^ nodes[b]).bit_count() <= 3)
+    assert brute.components(list(nodes), lambda a, b: (a, b) in found or (b, a) in found) == linked
+
+
+def test_near_copies_come_by_ball_hashing_first(spark, monkeypatch):
+    """Texts within the ball are found without any band, and are no longer pairs to check; texts the ball joins below 0.8 stay apart."""
+
+    def nothing(batches):
+        for _ in batches:
+            pass
+        return iter(())
+
+    draw = random.Random(2)
+    words = [f"w{k}" for k in range(3000)]
+    rows = []
+    for k in range(40):
+        text = draw.choices(words, k=2500)
+        rows += [(2 * k, " ".join(text), "en", "s", 1), (2 * k + 1, " ".join([*text, "end"]), "en", "s", 1)]
+    rows += [(900, "", "en", "s", 1), (901, " ", "en", "s", 1), (902, "a b c d e f", "en", "s", 1)]
+    docs = brute.frame(spark, rows)
+    monkeypatch.setattr(near_copies, "_pairs", nothing)
+    found = sorted(r["doc_id"] for r in pipeline.near_copies(spark, docs, FOLDER).collect())
+    assert found == kept_ids(rows)
+    # the ball joins all texts here, and the shingles still decide
+    monkeypatch.setattr(near_copies, "majority", lambda hashes, counts: np.zeros(len(counts), np.uint64))
+    far = [(k, f"p{k} q{k} r{k} s{k} t{k} u{k}", "en", "s", 1) for k in range(20)]
+    assert sorted(r["doc_id"] for r in pipeline.near_copies(spark, brute.frame(spark, far), FOLDER).collect()) == kept_ids(far)

@@ -1,7 +1,11 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands find pairs, the shingles themselves decide.
+"""Near copies by the Jaccard similarity of word shingles: ball hashing of SimHash fingerprints finds pairs first, MinHash bands those
+beyond the ball, and the shingles themselves decide.
 
-Texts at a similarity of 0.8 differ in about ten of 64 SimHash bits, too many for ball hashing. Here ``BANDS`` values of
-``ROWS`` minima each are worked out for every text; two texts at similarity s share a value with probability
+Every text has a SimHash fingerprint of its shingles. Fingerprints at ``simhash.RADIUS`` or fewer differing bits meet by ball hashing, as in
+``simhash``; texts that meet so and have the similarity link, and their components need no further pairs among themselves.
+
+Texts at a similarity of 0.8 differ in about ten of 64 SimHash bits, too many for the ball alone. So ``BANDS`` values of
+``ROWS`` minima each are also worked out for every text; two texts at similarity s share a value with probability
 1 - (1 - s^ROWS)^BANDS, at 0.8 all but 3 in 100,000. Texts that share a value are paired: all with all up to ``ALL_PAIRS``, in larger groups each
 with the next ``AHEAD`` in an order that every value draws anew, so pairs grow with the rows and not with their square. Only pairs whose
 shingles have the similarity link; components of links are groups.
@@ -27,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.common import BLOB_SCHEMA, Scratch, blob_batches, buckets_in_order, mixed, read_blobs
 from tokenloom.llm.components import connected_components
-from tokenloom.llm.simhash import shingle_hashes
+from tokenloom.llm.simhash import majority, near_links, shingle_hashes
 
 BANDS, ROWS = 26, 5
 ALL_PAIRS, AHEAD = 16, 4
@@ -49,10 +53,12 @@ def band_values(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return found ^ mixed(np.arange(BANDS, dtype=np.uint64) + np.uint64(1 << 32))
 
 
-def _bands(buckets: int, size: int):
+def _marks(size: int):
+    """The SimHash fingerprint and the band values of every text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, at = np.asarray(batch.column(0)).view(np.uint64), 0
+            at = 0
             hashes: list[int] = []
             counts: list[int] = []
             for k, text in enumerate(batch.column(1)):
@@ -60,14 +66,24 @@ def _bands(buckets: int, size: int):
                 hashes += found
                 counts.append(len(found))
                 if len(hashes) >= 1 << 16 or k == batch.num_rows - 1:
-                    value = band_values(np.array(hashes, np.uint64), np.array(counts, np.int64)).reshape(-1)
-                    node = np.repeat(nodes[at : k + 1], BANDS)
-                    yield from blob_batches((mixed(value) % np.uint64(buckets)).astype(np.int32), [value, node])
+                    runs = np.array(hashes, np.uint64), np.array(counts, np.int64)
+                    prints, bands = majority(*runs).view(np.int64), [row.tobytes() for row in band_values(*runs)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(counts)), pa.array(prints), pa.array(bands, pa.binary())], names=["node", "fp", "bands"])
                     hashes, counts, at = [], [], k + 1
 
     return run
 
 
+def _bands(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = np.repeat(np.asarray(batch.column(0)).view(np.uint64), BANDS)
+            value = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64)
+            yield from blob_batches((mixed(value) % np.uint64(buckets)).astype(np.int32), [value, node])
+
+    return run
+
+
 def _batch(pairs: np.ndarray) -> pa.RecordBatch:
     pairs = np.unique(np.sort(pairs, axis=1), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
@@ -208,16 +224,44 @@ def crowded_pairs(sets: DataFrame, components: DataFrame, scratch: Scratch, simi
     return _by_bucket(front.mapInArrow(_meetings(buckets, similarity), BLOB_SCHEMA)).mapInArrow(_front_pairs(similarity), "a long, b long").distinct()
 
 
+def ball_pairs(marks: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of the texts in ``marks`` (node, fp) that the ball joins: the texts of a fingerprint with the least of them, and the
+    least ones of fingerprints that link."""
+    prints = marks.select("node", "fp").distinct()
+    least = scratch.keep(prints.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
+    pairs = near_links(least, least.count())
+    for side in ("a", "b"):
+        pairs = pairs.join(least.select(F.col("fp").alias(side), F.col("least").alias(f"least_{side}")), side)
+    same = prints.join(least, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    return pairs.select(F.col("least_a").alias("a"), F.col("least_b").alias("b")).union(same)
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that are not in one component of ``found`` yet."""
+    for side in ("a", "b"):
+        pairs = pairs.join(found.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}")), side, "left")
+    return pairs.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+
+
+def _joined(found: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The components of ``found`` with further ``links``."""
+    return connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links), scratch, name)
+
+
 def similar_components(texts: DataFrame, scratch: Scratch, size: int, similarity: float) -> DataFrame:
     """(node, component) of the ``texts`` (node, text) that are linked to another."""
-    buckets = max(1, -(-texts.count() * BANDS // BUCKET_VALUES))
-    pairs = _by_bucket(texts.mapInArrow(_bands(buckets, size), BLOB_SCHEMA)).mapInArrow(_pairs, "a long, b long").distinct()
+    marks = scratch.keep(texts.select("node", "text").mapInArrow(_marks(size), "node long, fp long, bands binary"), "marks")
+    near = scratch.keep(ball_pairs(marks, scratch), "ball")
+    buckets = max(1, -(-marks.count() * BANDS // BUCKET_VALUES))
+    pairs = _by_bucket(marks.select("node", "bands").mapInArrow(_bands(buckets), BLOB_SCHEMA)).mapInArrow(_pairs, "a long, b long").distinct()
     pairs = scratch.keep(pairs, "pairs")
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    both = pairs.union(near)
+    met = both.select(F.col("a").alias("node")).union(both.select("b")).distinct()
     sets = texts.join(met, "node", "left_semi").dropDuplicates(["node"]).select("node", "text")
     sets = scratch.keep(sets.mapInArrow(_shingles(size), "node long, shingles binary"), "shingles")
-    links = scratch.keep(_verified(pairs.where("a <> b"), sets, similarity), "links")
-    found = connected_components(links, scratch)
+    found = scratch.keep(connected_components(scratch.keep(_verified(near, sets, similarity), "ball-links"), scratch, "ball"), "found-by-ball")
+    links = scratch.keep(_verified(_apart(pairs.where("a <> b"), found), sets, similarity), "links")
+    found = _joined(found, links, scratch, "bands")
     crowded = pairs.where("a = b").select(F.col("a").alias("node"))
     if crowded.isEmpty():
         return found
@@ -226,7 +270,7 @@ def similar_components(texts: DataFrame, scratch: Scratch, size: int, similarity
     more = scratch.keep(_verified(scratch.keep(more, "more"), sets, similarity), "more-links")
     if more.isEmpty():
         return found
-    return connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), scratch, "again")
+    return _joined(found, more, scratch, "again")
 
 
 def similar_groups(docs: DataFrame, scratch: Scratch, size: int, similarity: float) -> DataFrame:
