@@ -73,3 +73,10 @@ def test_written_events_of_a_value_follow_each_other(spark, tmp_path):
     dirty.rows().write.parquet(str(tmp_path / "rows"))
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 6000 * 1500
     assert sum(p.stat().st_size for p in (tmp_path / "rows").glob("*.parquet")) < 6000 * 1500 / 3
+
+
+def test_touched_users_are_found_without_pairing_them_with_events(spark):
+    dirty = drawn(spark, 6, 300)
+    plan = dirty.users()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Inner" not in plan and "Generate" not in plan
+    assert {r.user_id for r in dirty.users().collect()} == {*range(24)} | {99}
